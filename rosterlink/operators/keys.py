@@ -18,17 +18,19 @@ is at most ``(1 - t) * (total_a + total_b)``.
 
 from __future__ import annotations
 
-from math import comb, floor
+from math import floor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 
 # Slack on computed bounds; the score itself always decides.
 SLACK = 1e-9
-# Most deletion keys made for one item.
-KEY_BUDGET = 2_000
+# Most characters a shared deletion key may lack on either side.
+SHALLOW = 2
+# Longest item that gets deletion keys (1,954 of them at this length).
+LONGEST_LISTED = 62
 # Most tokens of a name whose token subsets are listed.
 SUBSET_TOKENS = 10
 # Longest name whose substrings are listed.
@@ -65,40 +67,73 @@ def own_deletions(total: int, share: float) -> int:
     return floor(2 * total * (1 - share) / (2 - share) + SLACK)
 
 
-def longest_listed(share: float) -> int:
-    """Greatest total up to which deletion keys stay within the budget."""
+def _pair_losses(total: int, partner: int, share: float) -> tuple[int, int]:
+    """Most characters either side can lack in a passing pair of these totals."""
+    edits = floor((1 - share) * (total + partner) + SLACK)
+    edits -= (edits - total - partner) % 2
+    return (edits + total - partner) // 2, (edits + partner - total) // 2
+
+
+def deep_limit(share: float) -> int:
+    """Greatest total up to which a side lacking more than ``SHALLOW`` faces a whole text.
+
+    Up to here one side loses at most ``SHALLOW + 1`` characters, and then the
+    other side is itself the key.
+    """
     total = 0
-    while total < 200:
-        drop = own_deletions(total + 1, share)
-        if sum(comb(total + 1, i) for i in range(drop + 1)) > KEY_BUDGET:
+    while total < LONGEST_LISTED:
+        lost = own_deletions(total + 1, share)
+        both = (1 - share) * (2 * (total + 1) - SHALLOW) + SLACK >= SHALLOW + 2
+        if lost > SHALLOW + 1 or (lost > SHALLOW and both):
             break
         total += 1
     return total
 
 
-def deletion_keys(items: DataFrame, share: float) -> DataFrame:
+def _gap_table(spark: SparkSession, longest: int, deep: bool) -> DataFrame:
+    """``(length, lost, gap1, gap2, gap3)``: all ways to delete characters, by text length.
+
+    A fixed table, whatever the data: about 41,000 rows, or 4,000 deep ones.
+    An unused gap lies behind the end of the text.
+    """
+    length = F.col("length")
+    table = spark.range(longest + 1).select(F.col("id").cast("int").alias("length"))
+    before = F.lit(0)
+    for i in range(1, SHALLOW + 2):
+        if deep:
+            table = table.withColumn(f"gap{i}", F.explode(_up_to(before + 1, length)))
+        elif i <= SHALLOW:
+            unused = F.greatest(before, length) + 1
+            gaps = F.concat(_up_to(before + 1, length), F.array(unused))
+            table = table.withColumn(f"gap{i}", F.explode(gaps))
+        else:
+            table = table.withColumn(f"gap{i}", F.greatest(before, length) + 1)
+        before = F.col(f"gap{i}")
+    gaps = [F.col(f"gap{i}") for i in range(1, SHALLOW + 2)]
+    return table.withColumn("lost", sum((gap <= length).cast("int") for gap in gaps))
+
+
+def deletion_keys(items: DataFrame, share: float, deep: bool = False) -> DataFrame:
     """One row per item and way to delete characters: adds ``key`` and ``lost``.
 
-    Deletion positions never go back, so each choice of positions comes once.
-    Each step is one generator inside a code-generated stage.
+    Up to ``SHALLOW`` characters go, or with ``deep`` exactly one more, for
+    items up to ``deep_limit``.  The ways come from a broadcast table of fixed
+    size, so the keys are made by one join and one projection.
     """
-    limit = longest_listed(share)
-    items = items.where(F.col("total") <= limit).withColumn("key", F.col("body"))
-    items = items.withColumn("_at", F.lit(1))
+    longest = deep_limit(share) if deep else LONGEST_LISTED
     allowed = _floor(2 * F.col("total") * (1 - share) / (2 - share))
-    for step in range(1, own_deletions(limit, share) + 1):
-        more = (F.lit(step) <= allowed) & (F.col("_at") > 0) & (F.col("_at") <= _length("key"))
-        choices = F.when(
-            more, F.concat(F.array(F.lit(0)), F.sequence(F.col("_at"), _length("key")))
-        ).otherwise(F.array(F.lit(0)))
-        shorter = F.concat(
-            F.substring("key", F.lit(1), F.col("_at") - 1),
-            F.substring("key", F.col("_at") + 1, _length("key")),
-        )
-        items = items.withColumn("_at", F.explode(choices)).withColumn(
-            "key", F.when(F.col("_at") == 0, F.col("key")).otherwise(shorter)
-        )
-    return items.withColumn("lost", _length("body") - _length("key")).drop("_at")
+    items = items.where(F.col("total") <= longest)
+    items = items.withColumn("length", _length("body")).withColumn("_allowed", allowed)
+    keyed = items.join(F.broadcast(_gap_table(items.sparkSession, longest, deep)), "length")
+    first, second, third = (F.col(f"gap{i}") for i in range(1, SHALLOW + 2))
+    key = F.concat(
+        F.substring("body", F.lit(1), first - 1),
+        F.substring("body", first + 1, second - first - 1),
+        F.substring("body", second + 1, third - second - 1),
+        F.substring("body", third + 1, F.col("length")),
+    )
+    keyed = keyed.where(F.col("lost") <= F.col("_allowed")).withColumn("key", key)
+    return keyed.drop("length", "_allowed", "gap1", "gap2", "gap3")
 
 
 # --- segments ------------------------------------------------------------------------
@@ -128,22 +163,42 @@ def segment_keys(items: DataFrame, share: float) -> DataFrame:
     return items.withColumn("key", text).withColumn("key_total", F.col("total"))
 
 
-def segment_probes(items: DataFrame, share: float, beyond: int) -> DataFrame:
+def segment_totals(share: float, deep: bool) -> tuple[int, int]:
+    """Smallest totals (own, partner) of a listed pair that deletion keys leave to segments."""
+    limit = deep_limit(share) if deep else 0
+    least = LONGEST_LISTED * share / (2 - share)
+    own = partner = floor(least)
+    for a in range(1, LONGEST_LISTED + 1):
+        for b in range(1, LONGEST_LISTED + 1):
+            lost = _pair_losses(a, b, share)
+            if min(lost) >= 0 and max(lost) > SHALLOW and max(a, b) > limit:
+                own, partner = min(own, a), min(partner, b)
+    return own, partner
+
+
+def segment_probes(items: DataFrame, share: float, deep: bool, everything: bool = False) -> DataFrame:
     """Where the parts of a partner may stand in each item; same key columns.
 
-    Only partners with one of the two totals above ``beyond`` are sought.
-    Some part is met with exactly ``part`` edits before it, which fixes how
-    far it can have moved.
+    Without ``everything`` only partners are sought that deletion keys do not
+    bring already.  Some part is met with exactly ``part`` edits before it,
+    which fixes how far it can have moved.
     """
     total, size = F.col("total"), _length("body")
     partner = F.col("key_total")
     items = items.withColumn(
         "key_total",
         F.explode(_up_to(_ceil(total * share / (2 - share)), _floor(total * (2 - share) / share))),
-    ).where(F.greatest(total, partner) > beyond)
+    )
+    most = _floor((1 - share) * (total + partner))
+    edits = most - F.pmod(most - total - partner, F.lit(2))
+    items = items.where(edits >= F.abs(total - partner))
+    if not everything:
+        longer = F.greatest(total, partner)
+        unlisted = longer > LONGEST_LISTED
+        deeper = (edits + F.abs(total - partner)) / 2 > SHALLOW
+        items = items.where(unlisted | (deeper & (longer > (deep_limit(share) if deep else 0))))
     partner_size = size + partner - total
     parts = _edits(partner, share) + 1
-    edits = _floor((1 - share) * (total + partner))
     items = items.where(partner_size >= 0)
     numbers = F.when(partner_size < parts, F.array(F.lit(_UNCUT))).otherwise(
         _up_to(F.lit(0), F.least(parts - 1, edits))
@@ -237,14 +292,26 @@ def token_subsets(names: DataFrame) -> DataFrame:
     return names.withColumn("own", own).drop("_mask")
 
 
-def substrings(names: DataFrame, shortest: Column, longest: Column) -> DataFrame:
-    """Every substring ``key`` of ``name`` with a length in the given range."""
-    names = names.withColumn("_width", F.explode(_up_to(shortest, longest)))
-    starts = _up_to(F.lit(1), _length("name") - F.col("_width") + 1)
-    names = names.withColumn("_start", F.explode(starts))
-    return names.withColumn("key", F.substring("name", F.col("_start"), F.col("_width"))).drop(
-        "_width", "_start"
-    )
+def substrings(names: DataFrame, shortest: Column, longest: Column, most: int) -> DataFrame:
+    """Every substring ``key`` of ``name`` with a length in the given range.
+
+    ``most`` is the length of the longest name; up to ``SUBSTRING_LENGTH`` the
+    places come from a broadcast table of fixed size.
+    """
+    spark = names.sparkSession
+    names = names.withColumn("_least", shortest).withColumn("_most", longest)
+    if most <= SUBSTRING_LENGTH:
+        places = spark.range(1, most + 1).select(F.col("id").cast("int").alias("_length"))
+        places = places.withColumn("_width", F.explode(_up_to(F.lit(1), F.col("_length"))))
+        places = places.withColumn("_start", F.explode(_up_to(F.lit(1), F.col("_length") - F.col("_width") + 1)))
+        placed = names.withColumn("_length", _length("name")).join(F.broadcast(places), "_length")
+        placed = placed.where((F.col("_width") >= F.col("_least")) & (F.col("_width") <= F.col("_most")))
+    else:
+        placed = names.withColumn("_width", F.explode(_up_to(F.col("_least"), F.col("_most"))))
+        starts = _up_to(F.lit(1), _length("name") - F.col("_width") + 1)
+        placed = placed.withColumn("_start", F.explode(starts))
+    key = F.substring("name", F.col("_start"), F.col("_width"))
+    return placed.withColumn("key", key).drop("_length", "_width", "_start", "_least", "_most")
 
 
 # --- joins ----------------------------------------------------------------------------

@@ -24,6 +24,7 @@ their best contacts; equal scores go to the first contact.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,11 +42,15 @@ FULL_REASONS_FROM = INSIDE_SCORE
 SEGMENTS_FROM = 200 / 3
 # Up to this many registrant rows, their keys are sent to the contacts.
 FEW_REGISTRANTS = 1_000
+# Up to this many rows, the names of a side are sent to the keys of the other.
+# Only names of bounded length are sent, so the bound on rows bounds the bytes.
+FEW_NAMES = 1_000_000
 
+_ANY_LENGTH = 2**31 - 1
 _SCORED = ("name", "score", CONTACT_POS)
 
 
-def _few(df: DataFrame, limit: int = FEW_REGISTRANTS) -> bool:
+def _few(df: DataFrame, limit: int) -> bool:
     """Whether a frame has at most ``limit`` rows; reads no more than that."""
     return df.limit(limit + 1).count() <= limit
 
@@ -70,20 +75,50 @@ def _near() -> Column:
     return _spread() < S.PARTIAL_FROM
 
 
+def _dealt(names: DataFrame) -> DataFrame:
+    """Names dealt evenly over all shuffle partitions.
+
+    Keys are many times larger than names; a fixed partition count keeps
+    adaptive execution from packing the names into few tasks before that.
+    By a hash of the name, for an exchange by the name itself would be dropped
+    as already there.  All branches share the exchange.
+    """
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(parts, F.xxhash64("name"))
+
+
+@dataclass(frozen=True)
+class _Sizes:
+    """What was checked about the size of the two sides."""
+
+    few_registrants: bool
+    few_registrant_names: bool
+    few_contact_names: bool
+
+    @classmethod
+    def check(cls, registrants: DataFrame, contacts: DataFrame) -> _Sizes:
+        few_names = _few(registrants.select("Name"), FEW_NAMES)
+        return cls(
+            few_names and _few(registrants.select("Name"), FEW_REGISTRANTS),
+            few_names,
+            _few(contacts.select("Name"), FEW_NAMES),
+        )
+
+
 class _Sides:
     """Both sides' distinct names, with tokens, for one cutoff."""
 
-    def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float, few: bool):
-        self.wanted = K.with_tokens(wanted)
-        self.contacts = K.with_tokens(contacts)
+    def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes: _Sizes):
+        self.wanted = K.with_tokens(_dealt(wanted))
+        self.contacts = K.with_tokens(_dealt(contacts))
         self.cutoff = cutoff
-        self.few = few
+        self.sizes = sizes
         self.share = cutoff / 100
         self.token_share = cutoff / 100 / S.TOKEN_WEIGHT
 
     def reduced(self, table: DataFrame, probes: DataFrame, by: list[str]) -> DataFrame:
         """Contact keys; with few registrants only those some registrant has."""
-        if not self.few:
+        if not self.sizes.few_registrants:
             return table
         return table.join(F.broadcast(probes.select(*by).distinct()), by, "left_semi")
 
@@ -93,7 +128,7 @@ class _Sides:
             *by,
             F.col("name").alias("contact_name"),
             CONTACT_POS,
-            *[F.col(c).alias("contact_" + c) for c in ("size", "total") if c in contacts.columns],
+            *[F.col(c).alias("contact_" + c) for c in ("size", "total", "body") if c in contacts.columns],
         )
         return wanted.join(self.reduced(renamed, wanted, by), by)
 
@@ -109,40 +144,73 @@ def _whole_items(names: DataFrame) -> DataFrame:
     )
 
 
+def _spelling_score(distance: Column, common: Column) -> Column:
+    return (1.0 - distance / (2 * common + distance)) * 100.0
+
+
 def _spelling(sides: _Sides) -> DataFrame:
-    """Plain ratio at or above the cutoff, for names within the deletion-key length."""
+    """Plain ratio at or above the cutoff, where a deletion key lacks few characters."""
     wanted = K.deletion_keys(_whole_items(sides.wanted.select("name", "size")), sides.share)
-    wanted = wanted.select("name", "key", "lost")
+    wanted = wanted.select("name", "key", "lost").where(F.char_length("key") > 0)
     table = K.deletion_keys(_whole_items(sides.contacts.select("name", "size", CONTACT_POS)), sides.share)
     table = sides.reduced(table, wanted, ["key"])
     # Same key, same text: the contact that lost least is the closest.
     best = table.groupBy("key").agg(F.min(F.struct("lost", CONTACT_POS)).alias("_contact"))
-    distance = F.col("lost") + F.col("_contact.lost")
-    score = (1.0 - distance / (2 * F.char_length("key") + distance)) * 100.0
+    score = _spelling_score(F.col("lost") + F.col("_contact.lost"), F.char_length("key"))
     return (
-        wanted.where(F.char_length("key") > 0)
-        .join(best, "key")
+        wanted.join(best, "key")
         .withColumn("score", score)
         .where(F.col("score") >= sides.cutoff)
         .select("name", "score", F.col(f"_contact.{CONTACT_POS}").alias(CONTACT_POS))
     )
 
 
+def _deep_spelling(sides: _Sides) -> list[DataFrame]:
+    """Plain ratio, where one name is the other with one more character missing.
+
+    These keys are many but meet whole names only, which are sent to them
+    where they are few.
+    """
+    wanted = _whole_items(sides.wanted.select("name", "size"))
+    contacts = _whole_items(sides.contacts.select("name", "size", CONTACT_POS))
+    limit = K.deep_limit(sides.share)
+
+    def whole(names: DataFrame, few: bool) -> DataFrame:
+        names = names.where(F.col("size") <= limit)
+        return F.broadcast(names) if few else names
+
+    whole_contacts = whole(contacts, sides.sizes.few_contact_names).select(F.col("name").alias("key"), CONTACT_POS)
+    from_wanted = K.deletion_keys(wanted, sides.share, deep=True).select("name", "key", "lost")
+    whole_wanted = whole(wanted, sides.sizes.few_registrant_names).select(F.col("name").alias("key"))
+    from_contacts = K.deletion_keys(contacts, sides.share, deep=True).select("key", "lost", CONTACT_POS)
+    return [
+        found.withColumn("score", _spelling_score(F.col("lost"), F.char_length("key")))
+        .where(F.col("score") >= sides.cutoff)
+        .select(*_SCORED)
+        for found in (
+            from_wanted.join(whole_contacts, "key"),
+            from_contacts.join(whole_wanted, "key").withColumn("name", F.col("key")),
+        )
+    ]
+
+
 def _segment_pairs(
-    sides: _Sides, wanted: DataFrame, contacts: DataFrame, share: float, beyond: int
+    sides: _Sides, wanted: DataFrame, contacts: DataFrame, share: float, deep: bool, everything: bool
 ) -> DataFrame:
-    """Pairs within the distance of ``share`` with a total above ``beyond``."""
-    reach = beyond * share / (2 - share)
+    """Pairs within the distance of ``share`` that deletion keys do not bring."""
+    own, partner = (0, 0) if everything else K.segment_totals(share, deep)
     by = ["prefix", "key_total", "part", "key"]
-    probes = K.segment_probes(wanted.where(F.col("total") >= reach - 1), share, beyond)
-    table = K.segment_keys(contacts.where(F.col("total") >= reach - 1), share)
-    return sides.candidates(probes, table, by)
+    probes = K.segment_probes(wanted.where(F.col("total") >= own), share, deep, everything)
+    table = K.segment_keys(contacts.where(F.col("total") >= partner), share)
+    # Substitutions count once here and twice in the indel distance, so this loses no pair.
+    edits = (1 - share) * (F.col("total") + F.col("contact_total")) + K.SLACK
+    return sides.candidates(probes, table, by).where(F.levenshtein("body", "contact_body") <= edits)
 
 
-def _long_spelling(sides: _Sides, beyond: int) -> DataFrame:
+def _long_spelling(sides: _Sides, everything: bool = False) -> DataFrame:
     wanted = _whole_items(sides.wanted.select("name", "size"))
     contacts = _whole_items(sides.contacts.select("name", "size", CONTACT_POS))
-    return _segment_pairs(sides, wanted, contacts, sides.share, beyond)
+    return _segment_pairs(sides, wanted, contacts, sides.share, True, everything)
 
 
 def _token_pairs(sides: _Sides) -> DataFrame:
@@ -153,10 +221,10 @@ def _token_pairs(sides: _Sides) -> DataFrame:
     return sides.candidates(wanted, contacts, ["prefix", "key"]).where(_near())
 
 
-def _long_token_pairs(sides: _Sides, beyond: int) -> DataFrame:
+def _long_token_pairs(sides: _Sides, everything: bool = False) -> DataFrame:
     share = sides.token_share
     wanted, contacts = K.token_items(sides.wanted, share), K.token_items(sides.contacts, share)
-    return _segment_pairs(sides, wanted, contacts, share, beyond).where(_near())
+    return _segment_pairs(sides, wanted, contacts, share, False, everything).where(_near())
 
 
 def _many_token_pairs(sides: _Sides) -> DataFrame:
@@ -208,17 +276,25 @@ def _inside(sides: _Sides) -> DataFrame:
     wanted = sides.wanted.select("name", "size")
     contacts = sides.contacts.select("name", "size", CONTACT_POS)
 
-    whole_contacts = contacts.select(F.col("name").alias("key"), F.col("size").alias("contact_size"), CONTACT_POS)
-    in_wanted = K.lookup(
-        K.substrings(wanted.where(listed), low, high).distinct(), whole_contacts, "key", F.col("name")
+    # A name listed inside a longer one is short, which bounds what is sent.
+    short = size <= K.SUBSTRING_LENGTH
+    whole_contacts = contacts.where(short).select(
+        F.col("name").alias("key"), F.col("size").alias("contact_size"), CONTACT_POS
     )
-    in_contact = K.substrings(contacts.where(listed), low, high).select(
+    parts = K.substrings(wanted.where(listed), low, high, K.SUBSTRING_LENGTH)
+    if sides.sizes.few_contact_names:
+        in_wanted = parts.join(F.broadcast(whole_contacts), "key")
+    else:
+        in_wanted = K.lookup(parts.distinct(), whole_contacts, "key", F.col("name"))
+    whole_wanted = wanted.where(short).withColumn("key", F.col("name"))
+    parts = K.substrings(contacts.where(listed), low, high, K.SUBSTRING_LENGTH).select(
         "key", F.col("size").alias("contact_size"), CONTACT_POS
     )
-    whole_wanted = wanted.withColumn("key", F.col("name"))
-    in_contact = sides.reduced(in_contact, whole_wanted, ["key"])
-    in_contact = in_contact.groupBy("key", "contact_size").agg(F.min(CONTACT_POS).alias(CONTACT_POS))
-    in_contact = whole_wanted.join(in_contact, "key")
+    if sides.sizes.few_registrant_names:
+        in_contact = parts.join(F.broadcast(whole_wanted), "key")
+    else:
+        first = parts.groupBy("key", "contact_size").agg(F.min(CONTACT_POS).alias(CONTACT_POS))
+        in_contact = whole_wanted.join(first, "key")
 
     # Longer names: meet on the first characters of the shorter one.
     head = K.SUBSTRING_LENGTH // int(S.FAR_FROM)
@@ -227,7 +303,7 @@ def _inside(sides: _Sides) -> DataFrame:
         return names.where(size >= head).withColumn("key", F.substring("name", 1, head))
 
     def windows(names: DataFrame) -> DataFrame:
-        return K.substrings(names.where(~listed), F.lit(head), F.lit(head)).distinct()
+        return K.substrings(names.where(~listed), F.lit(head), F.lit(head), _ANY_LENGTH).distinct()
 
     def renamed(names: DataFrame) -> DataFrame:
         return names.select(
@@ -246,15 +322,15 @@ def _inside(sides: _Sides) -> DataFrame:
     return found.where(fits).withColumn("score", F.lit(INSIDE_SCORE)).select(*_SCORED)
 
 
-def _strict_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, few: bool) -> DataFrame:
+def _strict_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes: _Sizes) -> DataFrame:
     """Scored matches at a cutoff of at least 90."""
-    sides = _Sides(wanted, contacts, cutoff, few)
-    scored = [_spelling(sides)]
-    pairs = [_long_spelling(sides, K.longest_listed(sides.share))]
+    sides = _Sides(wanted, contacts, cutoff, sizes)
+    scored = [_spelling(sides), *_deep_spelling(sides)]
+    pairs = [_long_spelling(sides)]
     if cutoff <= 100 * S.TOKEN_WEIGHT:
         scored.append(_subset(sides))
         pairs.append(_token_pairs(sides))
-        pairs.append(_long_token_pairs(sides, K.longest_listed(sides.token_share)))
+        pairs.append(_long_token_pairs(sides))
         pairs.append(_many_token_pairs(sides))
     if cutoff <= INSIDE_SCORE:
         scored.append(_inside(sides))
@@ -291,7 +367,7 @@ def _window_pairs(sides: _Sides) -> DataFrame:
         text = items.select(*[F.col(c).alias("owner") if c == "name" else c for c in items.columns])
         text = text.withColumnRenamed("body", "name")
         high = F.least(F.lit(longest), F.char_length("name")).cast("int")
-        cut = K.substrings(text, F.lit(1), high).drop("name").distinct()
+        cut = K.substrings(text, F.lit(1), high, _ANY_LENGTH).drop("name").distinct()
         return cut.withColumnRenamed("owner", "name")
 
     wanted, contacts = forms(sides.wanted), forms(sides.contacts)
@@ -313,14 +389,14 @@ def _shared_character_pairs(sides: _Sides) -> DataFrame:
     return sides.candidates(characters(sides.wanted), characters(sides.contacts), ["key"])
 
 
-def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, few: bool) -> DataFrame:
+def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes: _Sizes) -> DataFrame:
     """Scored matches below 90, for the names that found nothing better."""
-    sides = _Sides(wanted, contacts, cutoff, few)
+    sides = _Sides(wanted, contacts, cutoff, sizes)
     if cutoff <= SEGMENTS_FROM:
         return sides.scored_pairs([_shared_character_pairs(sides)])
     pairs = [
-        _long_spelling(sides, -1),
-        _long_token_pairs(sides, -1),
+        _long_spelling(sides, everything=True),
+        _long_token_pairs(sides, everything=True),
         _many_token_pairs(sides),
         _window_pairs(sides),
     ]
@@ -345,7 +421,6 @@ def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: flo
     ``contacts`` needs ``Name`` and ``contact_pos``.  Names without a match are absent.
     """
     cutoff = float(score_cutoff)
-    few = _few(registrants.select("Name"))
     filled = F.col("Name").isNotNull() & (F.col("Name") != "")
     wanted = registrants.where(filled).select(F.col("Name").alias("name")).distinct()
     known = contacts.where(filled).groupBy(F.col("Name").alias("name")).agg(
@@ -356,13 +431,14 @@ def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: flo
         return equal.where(F.lit(False))
     if cutoff == 100:
         return equal
+    sizes = _Sizes.check(registrants, contacts)
     rest = wanted.join(known, "name", "left_anti")
-    strict = _best(_strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM), few))
+    strict = _best(_strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM), sizes))
     if cutoff >= FULL_REASONS_FROM:
         return equal.unionByName(strict)
     strict = _settled(strict)
     rest = rest.join(strict, "name", "left_anti")
-    loose = _best(_loose_matches(rest, known, max(cutoff, K.SLACK), few))
+    loose = _best(_loose_matches(rest, known, max(cutoff, K.SLACK), sizes))
     return _union([equal, strict, loose])
 
 
