@@ -15,6 +15,7 @@ from .operators.normalize import (
     normalize_connections,
     normalize_registrants,
 )
+from .sources.files import load_congress_list, load_linkedin_connections, load_registrants
 
 __all__ = [
     "build_contacts",
@@ -25,6 +26,9 @@ __all__ = [
     "enrich_audience",
     "filter_audience",
     "fuzzy_match",
+    "load_congress_list",
+    "load_linkedin_connections",
+    "load_registrants",
     "match_counts",
     "match_stats",
     "normalize_congress",

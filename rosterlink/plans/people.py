@@ -44,7 +44,7 @@ def _pick(values: list[str], index: Column) -> Column:
 
 def last_name(key: Column) -> Column:
     mixed = (key * 48271) % NAME_SPACE
-    parts = [_pick(SYLLABLES, F.floor(mixed / 20**i)) for i in range(4)]
+    parts = [_pick(SYLLABLES, F.call_function("div", mixed, F.lit(20**i))) for i in range(4)]
     return F.concat(*parts)
 
 
