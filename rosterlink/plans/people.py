@@ -81,7 +81,7 @@ def congress_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _registrant_parts(key: Column) -> tuple[Column, Column]:
+def registrant_parts(key: Column) -> tuple[Column, Column]:
     own = last_name(key)
     kind = key % 4
     shortened = F.concat(F.substring(own, 1, 2), F.substring(own, F.lit(4), F.length(own)))
@@ -98,7 +98,7 @@ def registrants_raw(spark: SparkSession, sf_dir: str, french: bool = True) -> Da
     """One registrant per customer: same name, a letter missing, padded, or a stranger."""
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     key = F.col("c_custkey")
-    last, first = _registrant_parts(key)
+    last, first = registrant_parts(key)
     headers = ("Nom", "Prénom") if french else ("Last Name", "First Name")
     return customer.select(
         F.concat(F.lit("r"), key.cast("string"), F.lit("@example.org")).alias("Email"),
