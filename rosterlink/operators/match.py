@@ -24,6 +24,7 @@ their best contacts; equal scores go to the first contact.
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass
 from functools import reduce
 
@@ -96,21 +97,17 @@ class _Sizes:
     few_contact_names: bool
 
     @classmethod
-    def check(cls, registrants: DataFrame, contacts: DataFrame) -> _Sizes:
-        few_names = _few(registrants.select("Name"), FEW_NAMES)
-        return cls(
-            few_names and _few(registrants.select("Name"), FEW_REGISTRANTS),
-            few_names,
-            _few(contacts.select("Name"), FEW_NAMES),
-        )
+    def check(cls, wanted: DataFrame, contacts: DataFrame) -> _Sizes:
+        few_names = _few(wanted, FEW_NAMES)
+        return cls(few_names and _few(wanted, FEW_REGISTRANTS), few_names, _few(contacts, FEW_NAMES))
 
 
 class _Sides:
     """Both sides' distinct names, with tokens, for one cutoff."""
 
     def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes: _Sizes):
-        self.wanted = K.with_tokens(_dealt(wanted))
-        self.contacts = K.with_tokens(_dealt(contacts))
+        self.wanted = K.with_tokens(wanted)
+        self.contacts = K.with_tokens(contacts)
         self.cutoff = cutoff
         self.sizes = sizes
         self.share = cutoff / 100
@@ -407,12 +404,20 @@ def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes:
 
 
 def _settled(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared checkpoint folder, where the session names one."""
-    session = df.sparkSession
-    folder = session.conf.get("spark.checkpoint.dir", None)
-    if folder and session.sparkContext.getCheckpointDir() is None:
-        session.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint() if session.sparkContext.getCheckpointDir() else df
+    """Cut lineage in the shared folder of ``spark.checkpoint.dir``.
+
+    What is settled here is read by every branch, so it is computed once.  A
+    local session without such a folder gets its own; on a cluster without
+    one the plan stays whole.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="rosterlink-")
+        if folder is not None:
+            context.setCheckpointDir(folder)
+    return df if context.getCheckpointDir() is None else df.checkpoint()
 
 
 def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: float = 90.0) -> DataFrame:
@@ -426,19 +431,21 @@ def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: flo
     known = contacts.where(filled).groupBy(F.col("Name").alias("name")).agg(
         F.min(CONTACT_POS).alias(CONTACT_POS)
     )
-    equal = wanted.join(known, "name").select("name", F.lit(100.0).alias("score"), CONTACT_POS)
-    if cutoff > 100:
-        return equal.where(F.lit(False))
-    if cutoff == 100:
-        return equal
-    sizes = _Sizes.check(registrants, contacts)
-    rest = wanted.join(known, "name", "left_anti")
+    score = F.lit(100.0).alias("score")
+    if cutoff >= 100:
+        equal = wanted.join(known, "name").select("name", score, CONTACT_POS)
+        return equal if cutoff == 100 else equal.where(F.lit(False))
+    known = _settled(_dealt(known))
+    first = _settled(_dealt(wanted.join(known, "name", "left")))
+    equal = first.where(F.col(CONTACT_POS).isNotNull()).select("name", score, CONTACT_POS)
+    rest = first.where(F.col(CONTACT_POS).isNull()).select("name")
+    sizes = _Sizes.check(rest, known)
     strict = _best(_strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM), sizes))
     if cutoff >= FULL_REASONS_FROM:
         return equal.unionByName(strict)
     strict = _settled(strict)
-    rest = rest.join(strict, "name", "left_anti")
-    loose = _best(_loose_matches(rest, known, max(cutoff, K.SLACK), sizes))
+    rest = _settled(_dealt(rest.join(strict, "name", "left_anti")))
+    loose = _best(_loose_matches(rest, known, max(cutoff, K.SLACK), _Sizes.check(rest, known)))
     return _union([equal, strict, loose])
 
 
