@@ -25,6 +25,7 @@ their best contacts; equal scores go to the first contact.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -106,8 +107,8 @@ class _Sides:
     """Both sides' distinct names, with tokens, for one cutoff."""
 
     def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes: _Sizes):
-        self.wanted = K.with_tokens(wanted)
-        self.contacts = K.with_tokens(contacts)
+        self.wanted = K.with_tokens(_dealt(wanted))
+        self.contacts = K.with_tokens(_dealt(contacts))
         self.cutoff = cutoff
         self.sizes = sizes
         self.share = cutoff / 100
@@ -404,20 +405,22 @@ def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes:
 
 
 def _settled(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared folder of ``spark.checkpoint.dir``.
+    """Cut lineage with a table written to the shared folder of ``spark.checkpoint.dir``.
 
-    What is settled here is read by every branch, so it is computed once.  A
-    local session without such a folder gets its own; on a cluster without
-    one the plan stays whole.
+    What is settled here is read by every branch, so it is computed once; a
+    lost executor costs a read, not a recomputation.  A local session without
+    such a folder gets its own; on a cluster without one the plan stays whole.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="rosterlink-")
-        if folder is not None:
-            context.setCheckpointDir(folder)
-    return df if context.getCheckpointDir() is None else df.checkpoint()
+    session = df.sparkSession
+    folder = session.conf.get("spark.checkpoint.dir", None) or session.sparkContext.getCheckpointDir()
+    if folder is None and session.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="rosterlink-")
+        session.sparkContext.setCheckpointDir(folder)
+    if folder is None:
+        return df
+    table = f"{folder.rstrip('/')}/names-{uuid.uuid4().hex}"
+    df.write.parquet(table)
+    return session.read.schema(df.schema).parquet(table)
 
 
 def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: float = 90.0) -> DataFrame:
@@ -435,8 +438,8 @@ def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: flo
     if cutoff >= 100:
         equal = wanted.join(known, "name").select("name", score, CONTACT_POS)
         return equal if cutoff == 100 else equal.where(F.lit(False))
-    known = _settled(_dealt(known))
-    first = _settled(_dealt(wanted.join(known, "name", "left")))
+    known = _settled(known)
+    first = _settled(wanted.join(known, "name", "left"))
     equal = first.where(F.col(CONTACT_POS).isNotNull()).select("name", score, CONTACT_POS)
     rest = first.where(F.col(CONTACT_POS).isNull()).select("name")
     sizes = _Sizes.check(rest, known)
@@ -444,7 +447,7 @@ def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: flo
     if cutoff >= FULL_REASONS_FROM:
         return equal.unionByName(strict)
     strict = _settled(strict)
-    rest = _settled(_dealt(rest.join(strict, "name", "left_anti")))
+    rest = _settled(rest.join(strict, "name", "left_anti"))
     loose = _best(_loose_matches(rest, known, max(cutoff, K.SLACK), _Sizes.check(rest, known)))
     return _union([equal, strict, loose])
 
