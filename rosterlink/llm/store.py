@@ -1,0 +1,33 @@
+"""Where intermediate tables go, and how small fixed-size state is merged."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is set.
+
+    All executors must see it, so on a cluster the setting is required. The
+    fallback is for one-machine sessions such as tests.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        context = spark.sparkContext._jsc.sc()
+        current = context.getCheckpointDir()
+        if current.isDefined():
+            return current.get()
+        folder = tempfile.mkdtemp(prefix="rosterlink-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder once and read it back: lineage ends, lost executors cost nothing."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
