@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, checks, lines, mixing
+from . import bpe, checks, lines, mixing, neardup, topk
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -16,12 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes from each."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they stand for, as digests."""
     ranks = bpe.read_ranks(RANKS)
@@ -37,6 +48,6 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op4_mixing": op4_mixing, "op7_bpe": op7_bpe, "op8_lines": op8_lines}
+QUERIES = {"op1_neardup": op1_neardup, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op7_bpe": op7_bpe, "op8_lines": op8_lines}
 
-CHECKS = {"op8_lines": checks.OP8}
+CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8}
