@@ -48,7 +48,7 @@ def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
         for batch in batches:
             rows = _units(matrix(batch.column(0), np.float64, width))
             total += rows.T @ rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(list(total))], names=["row", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), pa.array(list(total))], names=["row", "sums"])
 
     sums = vectors.mapInArrow(run, "row int, sums array<double>").select("row", F.posexplode("sums").alias("at", "value"))
     moments = np.zeros((width, width))
