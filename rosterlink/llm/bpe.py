@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from .words import chunks, code_values, ragged, span_hashes, text_buffers
 
 # Distinct pieces a worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+_CHUNK_BYTES = 1 << 20
 # Longer pieces are encoded one by one, and not remembered.
 _TOGETHER = 64
 
@@ -61,12 +62,6 @@ class Vocabulary:
         self._reached: set[int] = set()
         for rank in sorted(self.tokens):
             self._take_apart(rank)
-        self._tree: dict = {}
-        for rank in self._reached:
-            node = self._tree
-            for byte in self.tokens[rank]:
-                node = node.setdefault(byte, {})
-            node[-1] = rank
         self._flatten()
         size = max(self.tokens, default=-1) + 1
         self.lengths = np.array([len(self.tokens.get(i, b"")) for i in range(size)], np.int64)
@@ -74,18 +69,18 @@ class Vocabulary:
         self.blob = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(size)), np.uint8)
 
     def _flatten(self) -> None:
-        """The tree as sorted arrays: (node, byte) to node, and the token of each node."""
-        edges, targets, token_at, queue = [], [], [], [self._tree]
-        for node in queue:
-            token_at.append(node.get(-1, -1))
-            for byte, child in node.items():
-                if byte >= 0:
-                    edges.append((len(token_at) - 1) << 8 | byte)
-                    targets.append(len(queue))
-                    queue.append(child)
-        order = np.argsort(edges)
-        self._edges, self._targets = np.array(edges, np.int64)[order], np.array(targets, np.int64)[order]
-        self._token_at = np.array(token_at, np.int64)
+        """The tree of all token bytes: (node, byte) to node, as a table and as sorted arrays."""
+        tree: dict[int, int] = {}
+        ends = {0: -1}
+        for rank in self._reached:
+            node = 0
+            for byte in self.tokens[rank]:
+                node = tree.setdefault(node << 8 | byte, len(tree) + 1)
+            ends[node] = rank
+        self._tree, self._ends = tree, [ends.get(node, -1) for node in range(len(tree) + 1)]
+        self._edges = np.array(sorted(tree), np.int64)
+        self._targets = np.array([tree[e] for e in self._edges.tolist()], np.int64)
+        self._token_at = np.array(self._ends, np.int64)
         self._seen, self._seen_fit = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
 
     def _take_apart(self, rank: int) -> None:
@@ -130,21 +125,21 @@ class Vocabulary:
         From each start all tokens are followed through a tree of their bytes;
         one that may follow the last token before it is the last of its prefix.
         """
-        tree, known, border, size = self._tree, self._known, self._border, len(data)
+        tree, ends, known, border, size = self._tree, self._ends, self._known, self._border, len(data)
         for start in range(first, size):
-            left, node, end = last[start], tree, start
+            left, node, end = last[start], 0, start
             while end < size:
-                node = node.get(data[end])
+                node = tree.get(node << 8 | data[end])
                 if node is None:
                     break
                 end += 1
-                token = node.get(-1)
-                if token is not None and end > done and last[end] < 0:
+                token = ends[node]
+                if token >= 0 and end > done and last[end] < 0:
                     if start:
                         key = left << 24 | token
                         fit = known.get(key)
                         if fit is None:
-                            if len(known) >= 1_000_000:
+                            if len(known) >= 200_000:
                                 known.clear()
                             fit = known[key] = border(left, token, 1 << 62)
                         if not fit:
@@ -393,20 +388,24 @@ def _vocabulary(ranks) -> Vocabulary:
     return _VOCABULARIES[key]
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", decoded: bool = False,
+) -> DataFrame:
     """One row per text: the id column, ``n_tokens`` and ``ids``, its ids as little-endian 32-bit integers.
 
+    With ``decoded``, also the bytes that the ids stand for, from the same task.
     Each chunk is decoded again and compared with its bytes, so a collision of
     piece hashes is found and such texts are encoded piece by piece.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    names = ["id", "n_tokens", "ids", *["decoded"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
         encoder = _Encoder(vocabulary)
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
-            for low, high in chunks(offsets):
+            for low, high in chunks(offsets, _CHUNK_BYTES):
                 raw = data[offsets[low]: offsets[high]].tobytes()
                 cuts = (offsets[low: high + 1] - offsets[low]).tolist()
                 parts = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
@@ -416,13 +415,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
                 packed = [ids[a:b].tobytes() for a, b in zip(rows, rows[1:])]
                 if decode_ids(vocabulary, ids).tobytes() != raw:
                     packed = [encoder.exact(t).tobytes() for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array([len(p) // 4 for p in packed], pa.int64()),
-                     pa.array(packed, pa.binary())], names=["id", "n_tokens", "ids"])
+                columns = [batch.column(0).slice(low, high - low), pa.array([len(p) // 4 for p in packed], pa.int64()),
+                           pa.array(packed, pa.binary())]
+                if decoded:
+                    back = [decode_ids(vocabulary, np.frombuffer(p, "<u4")).tobytes() for p in packed]
+                    columns.append(pa.array(back, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {kind}, n_tokens bigint, ids binary").withColumnRenamed("id", id_col)
+    fields = f"id {kind}, n_tokens bigint, ids binary" + ", decoded binary" * decoded
+    return narrow.mapInArrow(run, fields).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:

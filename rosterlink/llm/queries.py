@@ -36,10 +36,9 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they stand for, as digests."""
     ranks = bpe.read_ranks(RANKS)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks)
-    digests = encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    return bpe.decode(digests, ranks).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, decoded=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
