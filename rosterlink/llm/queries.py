@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, checks, lines, mixing, neardup, topk
+from . import bpe, checks, lines, mixing, neardup, quality, topk
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,6 +21,21 @@ def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
 
+def _remainder(divisor: int) -> Column:
+    """The fold of a document."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from the labels of three folds in four."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    weights = quality.train(docs.select("doc_id", "text").where(_remainder(4) != 2).join(labels, "doc_id"))
+    scored = quality.score_texts(docs, weights)
+    return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes from each."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -47,6 +62,6 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_neardup": op1_neardup, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op7_bpe": op7_bpe, "op8_lines": op8_lines}
+QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op7_bpe": op7_bpe, "op8_lines": op8_lines}
 
 CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8}

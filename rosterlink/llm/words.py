@@ -103,16 +103,36 @@ def _word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(here & (edge | ~before)), np.flatnonzero(before & (edge | ~here))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of each row, in order, and the offsets of the rows in them."""
+# A sign for each kind of byte: lower case and beyond ASCII, upper case, digit, else the byte.
+_SHAPES = np.arange(256, dtype=np.uint8)
+_SHAPES[97:123] = _SHAPES[128:] = 97
+_SHAPES[65:91] = 65
+_SHAPES[48:58] = 48
+
+
+def _shape_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    kinds = _SHAPES[data]
+    kept = np.ones(len(data), bool)
+    kept[1:] = kinds[1:] != kinds[:-1]
+    kept[starts] = True
+    before = np.concatenate([[0], np.cumsum(kept)])
+    return span_hashes(_BYTE_VALUES[kinds[kept]], before[starts], before[ends])
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, shapes: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of each row, in order, and the offsets of the rows in them.
+
+    With ``shapes``, of the words' shapes instead: a run of bytes of one kind
+    counts as one sign, so ``Word,`` is ``Aa,``.
+    """
     starts, ends = _word_spans(data, offsets)
     hashes = np.empty(len(starts), np.uint64)
     done = 0
     while done < len(starts):
         upto = max(int(np.searchsorted(ends, starts[done] + BLOCK_BYTES, "right")), done + 1)
         low, high = starts[done], ends[upto - 1]
-        hashes[done:upto] = span_hashes(
-            _LOWER_VALUES[data[low:high]], starts[done:upto] - low, ends[done:upto] - low)
+        own = data[low:high], starts[done:upto] - low, ends[done:upto] - low
+        hashes[done:upto] = _shape_hashes(*own) if shapes else span_hashes(_LOWER_VALUES[own[0]], *own[1:])
         done = upto
     return hashes, np.searchsorted(starts, offsets)
 
