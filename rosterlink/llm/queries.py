@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, checks, lines, mixing, neardup, quality, topk
+from . import bpe, checks, langid, lines, mixing, neardup, quality, topk
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -36,6 +36,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from four folds in five."""
+    docs = table(spark, sf_dir, "documents")
+    models = langid.train(docs.where(_remainder(5) != 0).select("text", "lang"))
+    return langid.judge(docs, models).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score", "bits", "rejected")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes from each."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -62,6 +70,6 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op7_bpe": op7_bpe, "op8_lines": op8_lines}
+QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op7_bpe": op7_bpe, "op8_lines": op8_lines}
 
 CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8}
