@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..store import settled
 from .words import chunks, mix, text_buffers, word_hashes
 
 BUCKETS = 1 << 18
@@ -98,15 +99,21 @@ def _text_features(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(places, BUCKETS), np.append(values, 1.0).astype(np.float32)
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", most_rows: int = MOST_ROWS) -> np.ndarray:
-    """Weights of all buckets and the bias, from rows with a label of 0 or 1."""
-    spark = labelled.sparkSession
-    rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("double").alias("label"))
-    rows = rows.where(F.col("label").isin(0.0, 1.0)).withColumn("draw", F.xxhash64("text", "label"))
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
+    most_rows: int = MOST_ROWS,
+) -> np.ndarray:
+    """Weights of all buckets and the bias, from the texts whose id has a label of 0 or 1."""
+    spark = docs.sparkSession
+    rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
+    rows = rows.where(F.col("label").isin(0.0, 1.0)).withColumn("draw", F.xxhash64("id"))
     count, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     share = min(1.0, most_rows / max(count, 1))
+    # About ``most_rows`` ids and labels at most, so they can be broadcast.
     rows = rows.where(F.pmod("draw", F.lit(1_000_003)) < share * 1_000_003)
-    rows = rows.withColumn("shard", F.pmod(F.shiftright("draw", 32), F.lit(SHARDS)))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = settled(texts.join(F.broadcast(rows), "id")
+                   .select("text", "label", F.pmod(F.shiftright("draw", 32), F.lit(SHARDS)).alias("shard"), "draw"))
     state = Ftrl()
     # The bias starts at the log odds of the labels.
     odds = float(np.log((positive + 1) / (count - positive + 1)))
@@ -129,7 +136,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
             if own is not None:
                 yield _state_row(own, seen)
 
-        dealt = rows.select("text", "label", "shard", "draw").repartition("shard").sortWithinPartitions("shard", "draw", "text")
+        dealt = rows.repartition("shard").sortWithinPartitions("shard", "draw", "text")
         total, sums, squares = 0, 0.0, 0.0
         # At most SHARDS rows of fixed size.
         for row in dealt.mapInArrow(run, "seen bigint, sums binary, squares binary").toLocalIterator():

@@ -29,8 +29,8 @@ def _remainder(divisor: int) -> Column:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learnt from the labels of three folds in four."""
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    weights = quality.train(docs.select("doc_id", "text").where(_remainder(4) != 2).join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").where(_remainder(4) != 2)
+    weights = quality.train(docs, labels.select("doc_id", F.col("quality").alias("label")))
     scored = quality.score_texts(docs, weights)
     return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
