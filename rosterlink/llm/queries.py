@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, checks, langid, lines, mixing, neardup, quality, topk, urls
+from . import bpe, checks, jaccard, langid, lines, mixing, neardup, quality, topk, urls
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -81,6 +81,11 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines}
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of three-word shingles are 90 percent alike."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
-CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8}
+
+QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard}
+
+CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8, "op9_jaccard": checks.OP9}
