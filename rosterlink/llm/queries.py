@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, checks, jaccard, langid, lines, mixing, neardup, quality, topk, urls
+from . import bpe, checks, jaccard, langid, lines, lm, mixing, neardup, quality, topk, urls
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -86,6 +86,14 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard}
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents, learnt from six folds in seven."""
+    docs = table(spark, sf_dir, "documents")
+    model = lm.train(docs.where(_remainder(7) != 2))
+    return lm.score_texts(docs, model).select(
+        "doc_id", (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard, "op10_lm": op10_lm}
 
 CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8, "op9_jaccard": checks.OP9}
