@@ -266,6 +266,24 @@ def _calibrated(aside: DataFrame, models: Models) -> np.ndarray:
     return limits
 
 
+def _verdicts(held: Models, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Ranges of rows with place of the language, score, bits, characters, and whether rejected."""
+    for low, high, pieces, owners in _text_lists(column):
+        sums, sizes = _row_entropies(held, high - low, pieces, owners)
+        known = (sizes > 0) & bool(held.languages)
+        bits = np.divide(sums, sizes[:, None], where=sizes[:, None] > 0, out=np.zeros_like(sums))
+        best = np.where(known, bits.argmin(axis=1) if held.languages else 0, len(held.languages))
+        least = bits.min(axis=1) if held.languages else np.zeros(len(best))
+        # Nearby characters are not independent, so evidence is held back for long texts.
+        evidence = np.exp2(-(bits - least[:, None]) * np.minimum(sizes, 60)[:, None])
+        score = np.where(known, 1 / np.maximum(evidence.sum(axis=1), 1), 0.0)
+        rejected = ~known
+        if held.limits is not None and held.languages:
+            limit, more = held.limits[np.minimum(best, len(held.languages) - 1)].T
+            rejected = rejected | (least > limit + more / np.sqrt(np.maximum(sizes, 1)))
+        yield low, high, best, score, least, sizes, rejected
+
+
 def judge(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id column, ``lang_pred``, ``score`` (0 to 1), ``bits`` for each character, ``n_chars`` and ``rejected``."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
@@ -274,19 +292,7 @@ def judge(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
         held = shared.value
         names = np.array([*held.languages, UNKNOWN], object)
         for batch in batches:
-            for low, high, pieces, owners in _text_lists(batch.column(1)):
-                sums, sizes = _row_entropies(held, high - low, pieces, owners)
-                known = (sizes > 0) & bool(held.languages)
-                bits = np.divide(sums, sizes[:, None], where=sizes[:, None] > 0, out=np.zeros_like(sums))
-                best = np.where(known, bits.argmin(axis=1) if held.languages else 0, len(names) - 1)
-                least = bits.min(axis=1) if held.languages else np.zeros(len(best))
-                # Nearby characters are not independent, so evidence is held back for long texts.
-                evidence = np.exp2(-(bits - least[:, None]) * np.minimum(sizes, 60)[:, None])
-                score = np.where(known, 1 / np.maximum(evidence.sum(axis=1), 1), 0.0)
-                rejected = ~known
-                if held.limits is not None and held.languages:
-                    limit, more = held.limits[np.minimum(best, len(held.languages) - 1)].T
-                    rejected = rejected | (least > limit + more / np.sqrt(np.maximum(sizes, 1)))
+            for low, high, best, score, least, sizes, rejected in _verdicts(held, batch.column(1)):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(low, high - low), pa.array(names[best], pa.string()), pa.array(score),
                     pa.array(least), pa.array(sizes), pa.array(rejected)],
@@ -297,3 +303,16 @@ def judge(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
     return narrow.mapInArrow(
         run, f"id {kind}, lang_pred string, score double, bits double, n_chars bigint, rejected boolean"
     ).withColumnRenamed("id", id_col)
+
+
+def accepted(docs: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, as they are; nothing is shuffled."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(models), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [~v[-1] for v in _verdicts(shared.value, batch.column(at))]
+            if kept:
+                yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return docs.mapInArrow(run, docs.schema)
