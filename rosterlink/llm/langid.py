@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .words import text_buffers
 
 ORDER, MOST_ROWS = 4, 5_000
-KEEP, MARGIN = 0.999, 1.5
+KEEP, MARGIN = 0.999, 2.5
 UNKNOWN = "und"
 # Characters handled at once.
 _PIECE = 1 << 19
@@ -139,6 +139,8 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
     grams, chances = [np.zeros(0, np.uint64)], [np.zeros((0, number))]
     contexts, weights = [np.zeros(0, np.uint64)], [np.zeros((0, number), np.float32)]
     lower = None
+    if not languages:
+        return Models(languages, grams, chances, contexts, weights, nothing)
     for size in range(1, ORDER + 1):
         tables = [_order_counts(*counts[name], size) for name in languages]
         keys = np.unique(np.concatenate([_row_hashes(t[0]) for t in tables]))
