@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import apply_classifier
 from ..functions.text import strip
+from ..store import settled
 from .match import fuzzy_match
 from .normalize import CONTACT_POS, quoted
 
@@ -110,58 +111,26 @@ def match_counts(registrants: DataFrame, audience: DataFrame) -> DataFrame:
     )
 
 
-class SortedNames(Sequence):
-    """The names of a frame in order, read one partition at a time."""
-
-    def __init__(self, names: DataFrame):
-        self.frame = names
-
-    def __iter__(self) -> Iterator[str]:
-        return (row[0] for row in self.frame.orderBy("Name").toLocalIterator())
-
-    def __len__(self) -> int:
-        return self.frame.count()
-
-    def __contains__(self, name: object) -> bool:
-        return not self.frame.where(F.col("Name") == F.lit(name)).isEmpty()
-
-    def __getitem__(self, index):
-        if isinstance(index, slice):
-            return list(self)[index]
-        if index < 0:
-            index += len(self)
-        for i, name in enumerate(self):
-            if i == index:
-                return name
-        raise IndexError(index)
-
-    def __eq__(self, other: object) -> bool:
-        if not isinstance(other, Sequence) or isinstance(other, str):
-            return NotImplemented
-        missing = object()
-        theirs = iter(other)
-        return all(next(theirs, missing) == name for name in self) and next(theirs, missing) is missing
-
-    def __repr__(self) -> str:
-        return f"SortedNames({self.frame!r})"
-
-
 def match_stats(registrants: DataFrame, audience: DataFrame) -> dict:
-    """Coverage of the matching as a dict; runs one aggregation.
+    """Coverage of the matching as a dict that can be written as JSON.
 
-    ``unmatched_names`` is a sorted sequence that reads its frame when used,
-    so a long list never sits on the driver.
+    The two name columns are written once, so the match behind ``audience``
+    runs once. ``unmatched_names`` is a sorted list; for more names than the
+    driver should hold use ``unmatched_names()``, which stays a frame.
     """
+    registrants = settled(registrants.select("Name"))
+    audience = settled(audience.select(*[c for c in audience.columns if c == "Name registrant"] or [F.lit(1).alias("_row")]))
     row = match_counts(registrants, audience).first()
     registered, matched = row["n_registered"], row["n_matched"]
     unmatched = registered - matched
+    names = unmatched_names(registrants, audience).orderBy("Name")
     return {
         "n_registered": registered,
         "n_matched": matched,
         "n_unmatched": unmatched,
         "pct_matched": round(100 * matched / registered, 2) if registered else 0.0,
         "pct_unmatched": round(100 * unmatched / registered, 2) if registered else 0.0,
-        "unmatched_names": SortedNames(unmatched_names(registrants, audience)),
+        "unmatched_names": [row[0] for row in names.toLocalIterator()],
     }
 
 

@@ -24,15 +24,13 @@ their best contacts; equal scores go to the first contact.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
+from ..store import settled
 from . import keys as K
 from .normalize import CONTACT_POS
 
@@ -42,21 +40,10 @@ INSIDE_SCORE = 100.0 * S.PARTIAL_WEIGHT
 FULL_REASONS_FROM = INSIDE_SCORE
 # Lowest cutoff at which parts of a text are sure to survive the edits.
 SEGMENTS_FROM = 200 / 3
-# Up to this many registrant rows, their keys are sent to the contacts.
-FEW_REGISTRANTS = 1_000
-# Up to this many rows, the names of a side are sent to the keys of the other.
-# Only names of bounded length are sent, so the bound on rows bounds the bytes.
-FEW_NAMES = 1_000_000
-
 _ANY_LENGTH = 2**31 - 1
 _SCORED = ("name", "score", CONTACT_POS)
 
 
-def _few(df: DataFrame, limit: int) -> bool:
-    """Whether a frame has at most ``limit`` rows; reads no more than that."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def _best(scored: DataFrame) -> DataFrame:
     """Highest score per name, first contact among equals (partial aggregation, no sort)."""
     top = F.max(F.struct("score", (-F.col(CONTACT_POS)).alias("_order")))
@@ -89,37 +76,16 @@ def _dealt(names: DataFrame) -> DataFrame:
     return names.repartition(parts, F.xxhash64("name"))
 
 
-@dataclass(frozen=True)
-class _Sizes:
-    """What was checked about the size of the two sides."""
-
-    few_registrants: bool
-    few_registrant_names: bool
-    few_contact_names: bool
-
-    @classmethod
-    def check(cls, wanted: DataFrame, contacts: DataFrame) -> _Sizes:
-        few_names = _few(wanted, FEW_NAMES)
-        return cls(few_names and _few(wanted, FEW_REGISTRANTS), few_names, _few(contacts, FEW_NAMES))
-
-
 class _Sides:
     """Both sides' distinct names, with tokens, for one cutoff."""
 
-    def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes: _Sizes):
+    def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float):
         self.wanted = K.with_tokens(_dealt(wanted))
         self.contacts = K.with_tokens(_dealt(contacts))
         self.cutoff = cutoff
-        self.sizes = sizes
         self.share = cutoff / 100
         self.token_share = cutoff / 100 / S.TOKEN_WEIGHT
 
-    def reduced(self, table: DataFrame, probes: DataFrame, by: list[str]) -> DataFrame:
-        """Contact keys; with few registrants only those some registrant has."""
-        if not self.sizes.few_registrants:
-            return table
-        return table.join(F.broadcast(probes.select(*by).distinct()), by, "left_semi")
-
     def candidates(self, wanted: DataFrame, contacts: DataFrame, by: list[str]) -> DataFrame:
         """Pairs of rows with equal keys; contact columns get ``contact_`` names."""
         renamed = contacts.select(
@@ -128,7 +94,7 @@ class _Sides:
             CONTACT_POS,
             *[F.col(c).alias("contact_" + c) for c in ("size", "total", "body") if c in contacts.columns],
         )
-        return wanted.join(self.reduced(renamed, wanted, by), by)
+        return wanted.join(renamed, by)
 
     def scored_pairs(self, pairs: list[DataFrame]) -> DataFrame:
         distinct = _union([p.select("name", "contact_name", CONTACT_POS) for p in pairs]).distinct()
@@ -151,7 +117,6 @@ def _spelling(sides: _Sides) -> DataFrame:
     wanted = K.deletion_keys(_whole_items(sides.wanted.select("name", "size")), sides.share)
     wanted = wanted.select("name", "key", "lost").where(F.char_length("key") > 0)
     table = K.deletion_keys(_whole_items(sides.contacts.select("name", "size", CONTACT_POS)), sides.share)
-    table = sides.reduced(table, wanted, ["key"])
     # Same key, same text: the contact that lost least is the closest.
     best = table.groupBy("key").agg(F.min(F.struct("lost", CONTACT_POS)).alias("_contact"))
     score = _spelling_score(F.col("lost") + F.col("_contact.lost"), F.char_length("key"))
@@ -166,20 +131,15 @@ def _spelling(sides: _Sides) -> DataFrame:
 def _deep_spelling(sides: _Sides) -> list[DataFrame]:
     """Plain ratio, where one name is the other with one more character missing.
 
-    These keys are many but meet whole names only, which are sent to them
-    where they are few.
+    These keys are many but meet whole names only.
     """
     wanted = _whole_items(sides.wanted.select("name", "size"))
     contacts = _whole_items(sides.contacts.select("name", "size", CONTACT_POS))
     limit = K.deep_limit(sides.share)
 
-    def whole(names: DataFrame, few: bool) -> DataFrame:
-        names = names.where(F.col("size") <= limit)
-        return F.broadcast(names) if few else names
-
-    whole_contacts = whole(contacts, sides.sizes.few_contact_names).select(F.col("name").alias("key"), CONTACT_POS)
+    whole_contacts = contacts.where(F.col("size") <= limit).select(F.col("name").alias("key"), CONTACT_POS)
     from_wanted = K.deletion_keys(wanted, sides.share, deep=True).select("name", "key", "lost")
-    whole_wanted = whole(wanted, sides.sizes.few_registrant_names).select(F.col("name").alias("key"))
+    whole_wanted = wanted.where(F.col("size") <= limit).select(F.col("name").alias("key"))
     from_contacts = K.deletion_keys(contacts, sides.share, deep=True).select("key", "lost", CONTACT_POS)
     return [
         found.withColumn("score", _spelling_score(F.col("lost"), F.char_length("key")))
@@ -202,7 +162,8 @@ def _segment_pairs(
     table = K.segment_keys(contacts.where(F.col("total") >= partner), share)
     # Substitutions count once here and twice in the indel distance, so this loses no pair.
     edits = (1 - share) * (F.col("total") + F.col("contact_total")) + K.SLACK
-    return sides.candidates(probes, table, by).where(F.levenshtein("body", "contact_body") <= edits)
+    close = F.expr("levenshtein(body, contact_body, cast(_edits AS int))") >= 0
+    return sides.candidates(probes, table, by).withColumn("_edits", F.floor(edits)).where(close).drop("_edits")
 
 
 def _long_spelling(sides: _Sides, everything: bool = False) -> DataFrame:
@@ -248,7 +209,6 @@ def _subset(sides: _Sides) -> DataFrame:
     table = K.token_subsets(sides.contacts).select(
         "key", F.col("size").alias("contact_size"), F.col("own").alias("contact_own"), CONTACT_POS
     )
-    table = sides.reduced(table, wanted, ["key"])
     first = F.min(CONTACT_POS).alias(CONTACT_POS)
 
     strong_wanted = wanted.where(F.col("own") >= floor_own)
@@ -280,19 +240,14 @@ def _inside(sides: _Sides) -> DataFrame:
         F.col("name").alias("key"), F.col("size").alias("contact_size"), CONTACT_POS
     )
     parts = K.substrings(wanted.where(listed), low, high, K.SUBSTRING_LENGTH)
-    if sides.sizes.few_contact_names:
-        in_wanted = parts.join(F.broadcast(whole_contacts), "key")
-    else:
-        in_wanted = K.lookup(parts.distinct(), whole_contacts, "key", F.col("name"))
+    in_wanted = K.lookup(parts.distinct(), whole_contacts, "key", F.col("name"))
     whole_wanted = wanted.where(short).withColumn("key", F.col("name"))
     parts = K.substrings(contacts.where(listed), low, high, K.SUBSTRING_LENGTH).select(
         "key", F.col("size").alias("contact_size"), CONTACT_POS
     )
-    if sides.sizes.few_registrant_names:
-        in_contact = parts.join(F.broadcast(whole_wanted), "key")
-    else:
-        first = parts.groupBy("key", "contact_size").agg(F.min(CONTACT_POS).alias(CONTACT_POS))
-        in_contact = whole_wanted.join(first, "key")
+    # However many contacts hold a part, one of each length is enough.
+    first = parts.groupBy("key", "contact_size").agg(F.min(CONTACT_POS).alias(CONTACT_POS))
+    in_contact = whole_wanted.join(first, "key")
 
     # Longer names: meet on the first characters of the shorter one.
     head = K.SUBSTRING_LENGTH // int(S.FAR_FROM)
@@ -320,9 +275,9 @@ def _inside(sides: _Sides) -> DataFrame:
     return found.where(fits).withColumn("score", F.lit(INSIDE_SCORE)).select(*_SCORED)
 
 
-def _strict_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes: _Sizes) -> DataFrame:
+def _strict_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float) -> DataFrame:
     """Scored matches at a cutoff of at least 90."""
-    sides = _Sides(wanted, contacts, cutoff, sizes)
+    sides = _Sides(wanted, contacts, cutoff)
     scored = [_spelling(sides), *_deep_spelling(sides)]
     pairs = [_long_spelling(sides)]
     if cutoff <= 100 * S.TOKEN_WEIGHT:
@@ -342,7 +297,6 @@ def _shared_token(sides: _Sides) -> DataFrame:
     """A token in common and lengths apart: one fixed score, so one contact per token and length."""
     wanted = sides.wanted.select("name", "size", F.explode("kinds").alias("key"))
     table = sides.contacts.select(F.explode("kinds").alias("key"), F.col("size").alias("contact_size"), CONTACT_POS)
-    table = sides.reduced(table, wanted, ["key"])
     table = table.groupBy("key", "contact_size").agg(F.min(CONTACT_POS).alias(CONTACT_POS))
     found = K.lookup(wanted, table, "key", F.col("name")).where(_spread() >= S.PARTIAL_FROM)
     weight = F.when(_spread() <= S.FAR_FROM, S.TOKEN_WEIGHT * S.PARTIAL_WEIGHT).otherwise(
@@ -387,9 +341,9 @@ def _shared_character_pairs(sides: _Sides) -> DataFrame:
     return sides.candidates(characters(sides.wanted), characters(sides.contacts), ["key"])
 
 
-def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes: _Sizes) -> DataFrame:
+def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float) -> DataFrame:
     """Scored matches below 90, for the names that found nothing better."""
-    sides = _Sides(wanted, contacts, cutoff, sizes)
+    sides = _Sides(wanted, contacts, cutoff)
     if cutoff <= SEGMENTS_FROM:
         return sides.scored_pairs([_shared_character_pairs(sides)])
     pairs = [
@@ -404,27 +358,8 @@ def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, sizes:
 # --- operator --------------------------------------------------------------------------
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """Cut lineage with a table written to the shared folder of ``spark.checkpoint.dir``.
-
-    What is settled here is read by every branch, so it is computed once; a
-    lost executor costs a read, not a recomputation.  A local session without
-    such a folder gets its own; on a cluster without one the plan stays whole.
-    """
-    session = df.sparkSession
-    folder = session.conf.get("spark.checkpoint.dir", None) or session.sparkContext.getCheckpointDir()
-    if folder is None and session.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="rosterlink-")
-        session.sparkContext.setCheckpointDir(folder)
-    if folder is None:
-        return df
-    table = f"{folder.rstrip('/')}/names-{uuid.uuid4().hex}"
-    df.write.parquet(table)
-    return session.read.schema(df.schema).parquet(table)
-
-
 def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: float = 90.0) -> DataFrame:
-    """Best contact per distinct registrant name: ``name, score, contact_pos``.
+    """Best contact per distinct registrant name: ``name, score, contact_pos, matched``.
 
     ``contacts`` needs ``Name`` and ``contact_pos``.  Names without a match are absent.
     """
@@ -436,20 +371,21 @@ def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: flo
     )
     score = F.lit(100.0).alias("score")
     if cutoff >= 100:
-        equal = wanted.join(known, "name").select("name", score, CONTACT_POS)
+        equal = wanted.join(known, "name").select("name", score, CONTACT_POS, F.col("name").alias("matched"))
         return equal if cutoff == 100 else equal.where(F.lit(False))
-    known = _settled(known)
-    first = _settled(wanted.join(known, "name", "left"))
-    equal = first.where(F.col(CONTACT_POS).isNotNull()).select("name", score, CONTACT_POS)
+    known = settled(known)
+    first = settled(wanted.join(known, "name", "left"))
+    equal = first.where(F.col(CONTACT_POS).isNotNull()).select("name", score, CONTACT_POS, F.col("name").alias("matched"))
     rest = first.where(F.col(CONTACT_POS).isNull()).select("name")
-    sizes = _Sizes.check(rest, known)
-    strict = _best(_strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM), sizes))
+    strict = _best(_strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM)))
+    # The name comes from the same settled table as the position.
+    named = known.select(CONTACT_POS, F.col("name").alias("matched"))
     if cutoff >= FULL_REASONS_FROM:
-        return equal.unionByName(strict)
-    strict = _settled(strict)
-    rest = _settled(rest.join(strict, "name", "left_anti"))
-    loose = _best(_loose_matches(rest, known, max(cutoff, K.SLACK), _Sizes.check(rest, known)))
-    return _union([equal, strict, loose])
+        return equal.unionByName(strict.join(named, CONTACT_POS))
+    strict = settled(strict)
+    rest = settled(rest.join(strict, "name", "left_anti"))
+    loose = _best(_loose_matches(rest, known, max(cutoff, K.SLACK)))
+    return equal.unionByName(strict.unionByName(loose).join(named, CONTACT_POS))
 
 
 def fuzzy_match(registrants: DataFrame, contacts: DataFrame, score_cutoff: float = 90.0) -> DataFrame:
@@ -459,8 +395,6 @@ def fuzzy_match(registrants: DataFrame, contacts: DataFrame, score_cutoff: float
     ``Index`` is the ``contact_pos`` of the first contact with that name.
     """
     best = best_contacts(registrants, contacts, score_cutoff)
-    named = contacts.select(CONTACT_POS, F.col("Name").alias("matched"))
-    best = best.join(named, CONTACT_POS)
     if score_cutoff <= 0:
         best = best.unionByName(_first_contact_for(registrants, contacts, best))
     # A name may be held by many registrants: spread each over several tasks.

@@ -13,7 +13,6 @@ from ..functions.text import person_name, strip
 from ..operators import enrich as E
 from ..operators import normalize as N
 from ..operators.match import fuzzy_match
-from ..session import SETTINGS
 from . import people
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,14 +137,3 @@ QUERIES: dict[str, Query] = {
     "filter_company": _filter_query(None, INSURERS),
     "filter_audience": _filter_query(DECISION_MAKERS, INSURERS),
 }
-
-
-def tuned(query: Query) -> Query:
-    """The query on a session with the library's settings."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for key, value in SETTINGS.items():
-            spark.conf.set(key, value)
-        return query(spark, sf_dir)
-
-    return run

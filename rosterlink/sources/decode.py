@@ -15,6 +15,8 @@ ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
 # Lines searched for the header below a preamble.
 PREAMBLE_LINES = 10
 CHUNK_ROWS = 20_000
+# Separators looked for in a header.
+SEPARATORS = (",", ";", "\t")
 
 # Cell texts read as null.
 NULL_TEXTS = {
@@ -39,13 +41,16 @@ def decode_text(content: bytes) -> str:
     return content.decode(ENCODINGS[-1])
 
 
-def csv_chunks(content: bytes, header_mark: str | None, rows: int | None = None) -> Iterator[pd.DataFrame]:
+def csv_chunks(
+    content: bytes, header_mark: str | None, rows: int | None = None, sep: str | None = None
+) -> Iterator[pd.DataFrame]:
     """Text rows of a CSV file; the header is the first early line with ``header_mark``."""
     text = decode_text(content)
     head = io.StringIO(text)
     lines = [head.readline() for _ in range(PREAMBLE_LINES if header_mark else 1)]
     skip = next((i for i, line in enumerate(lines) if header_mark and header_mark in line), 0)
-    separator = ";" if lines[skip].count(";") > lines[skip].count(",") else ","
+    # Of equally frequent separators the first counts.
+    separator = sep or max(SEPARATORS, key=lines[skip].count)
     reader = pd.read_csv(
         io.StringIO(text), sep=separator, skiprows=skip, dtype=str, na_values=sorted(NULL_TEXTS),
         keep_default_na=False, chunksize=CHUNK_ROWS, nrows=rows,
@@ -115,8 +120,9 @@ def workbook_chunks(content: bytes, sheet_name: str | None, rows: int | None = N
 
 
 def file_chunks(
-    path: str, content: bytes, header_mark: str | None, sheet_name: str | None, rows: int | None = None
+    path: str, content: bytes, header_mark: str | None, sheet_name: str | None, rows: int | None = None,
+    sep: str | None = None,
 ) -> Iterator[pd.DataFrame]:
     if is_workbook(path):
         return workbook_chunks(content, sheet_name, rows)
-    return csv_chunks(content, header_mark, rows)
+    return csv_chunks(content, header_mark, rows, sep)

@@ -24,8 +24,8 @@ from ..operators.normalize import (
     normalize_connections,
     normalize_registrants,
     quoted,
-    with_position,
 )
+from ..store import numbered, settled
 from .decode import file_chunks
 
 CONGRESS_SHEET = "Résumé"
@@ -53,13 +53,24 @@ def first_file(files: DataFrame) -> DataFrame:
     return files.where(F.col("path") == files.agg(F.min("path")).first()[0])
 
 
-def _headers(files: DataFrame, header_mark: str | None, sheet_name: str | None) -> DataFrame:
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with underscores added until no column is called so."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+        taken.add(name.lower())
+    return found
+
+
+def _headers(files: DataFrame, header_mark: str | None, sheet_name: str | None, sep: str | None) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 columns, problem = [], None
                 try:
-                    for chunk in file_chunks(path, content, header_mark, sheet_name, rows=1):
+                    for chunk in file_chunks(path, content, header_mark, sheet_name, rows=1, sep=sep):
                         columns = [str(c) for c in chunk.columns]
                 except ValueError as error:  # unreadable file or no such sheet
                     problem = str(error)
@@ -81,9 +92,14 @@ def read_rows(
     header_mark: str | None = None,
     sheet_name: str | None = None,
     missing_error: type[Exception] = ValueError,
+    sep: str | None = None,
 ) -> DataFrame:
-    """All rows of the files, columns united, with their position as ``source_row``."""
-    headers = _headers(files, header_mark, sheet_name)
+    """All rows of the files, columns united, with their position as ``source_row``.
+
+    Without ``sep`` the most frequent of ``;``, ``,`` and tab in the header separates.
+    """
+    # One row for each file; written once, as three questions are asked about it.
+    headers = settled(_headers(files, header_mark, sheet_name, sep))
     broken = headers.where(F.col("problem").isNotNull()).first()
     if broken is not None:
         raise ValueError(f"{broken['path']!r}: {broken['problem']}")
@@ -92,37 +108,38 @@ def read_rows(
     if short is not None:
         raise missing_error(f"Missing columns: {short['path']!r} is missing required columns: {short['missing']}")
     columns = _union_columns(headers)
-    order = ["_path", "_line"]
+    order = free_names(columns, "_path", "_line")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 line = 0
-                for chunk in file_chunks(path, content, header_mark, sheet_name):
+                for chunk in file_chunks(path, content, header_mark, sheet_name, sep=sep):
                     rows = chunk.reindex(columns=columns).astype(object)
                     rows = rows.where(rows.notna(), None).reset_index(drop=True)
-                    rows["_path"] = path
-                    rows["_line"] = range(line, line + len(rows))
+                    rows[order[0]] = path
+                    rows[order[1]] = range(line, line + len(rows))
                     line += len(rows)
                     yield rows
 
     schema = StructType(
         [StructField(c, StringType()) for c in columns]
-        + [StructField("_path", StringType()), StructField("_line", LongType())]
+        + [StructField(order[0], StringType()), StructField(order[1], LongType())]
     )
     rows = files.mapInPandas(read, schema)
-    return with_position(rows, [F.col("_path")], F.col("_line"), SOURCE_ROW).select(
-        *[quoted(c) for c in columns if c not in order], SOURCE_ROW
-    )
+    # Path and line tell all rows apart; the rows are decoded once, when they are numbered.
+    placed = numbered(rows, [F.col(name) for name in order], SOURCE_ROW)
+    return placed.select(*[quoted(c) for c in columns if c != SOURCE_ROW], SOURCE_ROW)
 
 
 def load_linkedin_connections(
-    directory: str = ".", filename_pattern: str = "Connections*.csv", spark: SparkSession | None = None
+    directory: str = ".", filename_pattern: str = "Connections*.csv", spark: SparkSession | None = None,
+    sep: str | None = None,
 ) -> DataFrame:
     """All contact exports of a directory as one normalised, de-duplicated frame."""
     session = spark or SparkSession.active()
     files = list_files(session, directory, filename_pattern)
-    raw = read_rows(files, CONNECTION_COLUMNS, header_mark=CONNECTION_COLUMNS[0])
+    raw = read_rows(files, CONNECTION_COLUMNS, header_mark=CONNECTION_COLUMNS[0], sep=sep)
     return normalize_connections(raw)
 
 
@@ -137,7 +154,7 @@ def load_congress_list(
     return normalize_congress(raw)
 
 
-def load_registrants(filepath: str, spark: SparkSession | None = None) -> DataFrame:
+def load_registrants(filepath: str, spark: SparkSession | None = None, sep: str | None = None) -> DataFrame:
     """The registration list of a file, or of the first file of a glob."""
     session = spark or SparkSession.active()
-    return normalize_registrants(read_rows(first_file(list_files(session, filepath))))
+    return normalize_registrants(read_rows(first_file(list_files(session, filepath)), sep=sep))

@@ -1,11 +1,12 @@
+import json
+
 import pytest
 
 from rosterlink import (
     build_contacts, classify_company, classify_position, enrich_audience, filter_audience, fuzzy_match,
     match_counts, match_stats, normalize_congress,
 )
-from rosterlink.operators.enrich import SortedNames, add_categories, attach_contacts
-from rosterlink.operators import normalize as N
+from rosterlink.operators.enrich import add_categories, attach_contacts
 
 
 @pytest.fixture
@@ -28,8 +29,7 @@ def test_enrich_and_stats_at_default_cutoff(registrants, contacts):
 
 def test_stats(registrants, audience):
     stats = match_stats(registrants, audience)
-    assert isinstance(stats["unmatched_names"], SortedNames)
-    assert stats["unmatched_names"] == ["INCONNU, Robert"] and "INCONNU, Robert" in stats["unmatched_names"]
+    assert stats["unmatched_names"] == ["INCONNU, Robert"] and json.loads(json.dumps(stats)) == stats
     assert {k: v for k, v in stats.items() if k != "unmatched_names"} == {
         "n_registered": 4, "n_matched": 3, "n_unmatched": 1, "pct_matched": 75.0, "pct_unmatched": 25.0}
     empty = registrants.limit(0)
@@ -61,8 +61,7 @@ def test_duplicates_nulls_and_python_classifier(spark):
     assert {r["Category_position"] for r in named.collect()} == {"X!", "NAN!"}
 
 
-def test_contacts_union_and_positions(spark, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK_ROWS", 3)
+def test_contacts_union_and_positions(spark):
     one = spark.range(10).selectExpr("concat('N', id) AS Name", "id AS source_row", "'x' AS Extra")
     two = normalize_congress(spark.createDataFrame([("Q", " j ", "c")], "Name string, Job string, Compagnie string"))
     rows = build_contacts(one.repartition(4), two).orderBy("contact_pos").collect()
@@ -72,3 +71,21 @@ def test_contacts_union_and_positions(spark, monkeypatch):
         build_contacts()
     with pytest.raises(ValueError, match="'Name' column"):
         build_contacts(spark.range(1))
+
+
+def test_positions_are_lossless_and_fixed(spark):
+    rows = [(f"N{i % 40}", f"x{i}", None if i % 3 == 0 else i * 1_000_003) for i in range(400)] + [(None, None, None)]
+    source = spark.createDataFrame(rows, "Name string, Extra string, source_row bigint")
+    without = source.drop("source_row")
+    seen = []
+    for parts in ("4", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        placed = build_contacts(source.repartition(int(parts)), without.repartition(7))
+        seen.append({tuple(r) for r in placed.collect()})
+        assert sorted(r[-1] for r in seen[-1]) == list(range(802))
+        matched = fuzzy_match(without.where("Name = 'N7'").select("Name").distinct(), placed, 90)
+        row = matched.first()
+        assert (row[1], row[2]) == ("N7", 100.0) and ("N7", row[3]) in {(r.Name, r.contact_pos) for r in placed.collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert seen[0] == seen[1]
+    assert build_contacts(without.limit(0)).count() == 0

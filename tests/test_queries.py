@@ -2,8 +2,10 @@ import pytest
 from sql_check import compare
 
 import __spark_entry__ as entry
+from rosterlink.plans.checks import CHECKS
+from rosterlink.plans.queries import QUERIES
 
-QUICK = [name for name in entry.oracle_sql()
+QUICK = [name for name in CHECKS
          if not name.startswith(("fuzzy", "enrich", "filter", "match_counts", "unmatched"))]
 
 
@@ -13,4 +15,5 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_query_has_sql_or_a_brute_force_test():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"fuzzy_match_80"}
+    assert set(QUERIES) - set(CHECKS) == {"fuzzy_match_80"}
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
