@@ -1,7 +1,11 @@
-"""Session settings the library is written for."""
+"""Session settings the library is written for, and how executors get it."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +32,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, for clusters where it is not installed; once for each session's context."""
+    context = spark.sparkContext
+    if getattr(context, "_rosterlink_shipped", False):
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="rosterlink-")) / "rosterlink.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._rosterlink_shipped = True
