@@ -14,8 +14,10 @@ Equal sets are one class and only its least document takes part. A few rounds
 first compare every set with one other of its rarest tokens, the one most
 tokens agree on, and join what is similar; tokens whose sets are all in one
 component are then done. Of the rest, rare tokens are indexed alone, frequent
-ones in combinations of two, for which each set gives one token more. All
-pairs of different components that meet are verified.
+ones in combinations of two, for which each set gives one token more. Pairs of
+different components that meet in few are listed and verified. Where many meet
+(near copies that are just not similar enough), sets are verified block by
+block instead, so that no group's pairs become rows.
 
 Documents without words have no set, size 0, and link with nothing; with fewer
 words than a shingle the whole sequence is one. Of rows with one id but
@@ -34,8 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..store import settled
+from ..store import numbered, settled
 from .components import components
+from .neardup import forest
 from .words import chunks, mix, sequence_hashes, text_buffers, word_hashes
 
 WORDS, PERCENT = 3, 90
@@ -43,6 +46,8 @@ WORDS, PERCENT = 3, 90
 ROUNDS = 3
 # A token held by more sets is frequent; sets with more frequent tokens than the second index each alone.
 FREQUENT, MOST_COMBINED = 32, 24
+# Sets of a block, and tokens multiplied at once.
+BLOCK_SETS, _COLUMNS = 128, 1 << 14
 # Bits of the hash that stand for a token in the index; sets are compared with all 64.
 _TOKEN_MASK = np.uint64((1 << 47) - 1)
 _FILTER_BITS = 1 << 25
@@ -192,8 +197,8 @@ def _one_each(members: DataFrame, draw: int) -> DataFrame:
     return best.select(F.greatest("id", "best.other").alias("a"), F.least("id", "best.other").alias("b")).distinct()
 
 
-def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that meet in a rare token or in a combination of frequent ones."""
+def _units(members: DataFrame) -> DataFrame:
+    """What open sets meet in: rare tokens, combinations of two frequent ones, and frequent ones that cannot be combined."""
     sizes = members.groupBy("token").agg(F.count("*").alias("held"))
     classed = members.join(sizes, "token").withColumn("frequent", F.col("held") > FREQUENT)
     per_set = classed.where("frequent").groupBy("id").agg(F.count("*").alias("number"))
@@ -208,13 +213,83 @@ def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
         F.slice("tokens", i + 2, F.size("tokens")), lambda y: F.xxhash64(x, y))))
     together = together.select(F.explode(combos).alias("token"), "id", "n", "component")
     units = _open(alone.unionByName(together))
-    other = units.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component")])
-    met = units.join(other, "token").where(
+    return units.join(units.groupBy("token").agg(F.count("*").alias("held")), "token")
+
+
+def _pairs(units: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that meet in a unit of few sets."""
+    few = units.where(F.col("held") <= FREQUENT)
+    other = few.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component")])
+    met = few.join(other, "token").where(
         (F.col("id") > F.col("id_b")) & (F.col("component") != F.col("component_b"))
         & (F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent))
     return met.select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
+def _block_links(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of sets that meet in a unit of many: sets are cut into blocks, and blocks with a common unit are compared whole.
+
+    Sets that lead to the same least document stand side by side, so a group
+    of near copies fills few blocks; a block pair gives a forest of its links.
+    """
+    many = units.where(F.col("held") > FREQUENT).select("token", "id", "component")
+    least = many.groupBy("token").agg(F.min("id").alias("least"))
+    placed = many.join(least, "token").groupBy("id", "component").agg(F.min("least").alias("least"))
+    placed = numbered(placed, [F.col("least"), F.col("id")], "place").select(
+        "id", "component", F.expr(f"place div {BLOCK_SETS}").alias("block"))
+    held = many.join(placed.select("id", "block"), "id").select("token", "block").distinct()
+    pairs = held.join(held.withColumnRenamed("block", "other"), "token").where("block <= other").select("block", "other").distinct()
+    packed = placed.join(sets, "id").groupBy("block").agg(F.collect_list(F.struct("id", "component", "tokens")).alias("sets"))
+    both = pairs.join(packed, "block").withColumnRenamed("sets", "one").join(
+        packed.select(F.col("block").alias("other"), F.col("sets").alias("two")), "other").select("one", "two")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one, two = (batch.column(k).slice(i, 1).flatten() for k in (0, 1))
+                (ids, parts, rows), (others, other_parts, other_rows) = (
+                    (x.field("id").to_pylist(), np.array(x.field("component").to_pylist()),
+                     [np.frombuffer(t.as_buffer(), np.uint64) for t in x.field("tokens")]) for x in (one, two))
+                a, b = np.nonzero(block_similar(rows, other_rows, percent) & (parts[:, None] != other_parts[None, :]))
+                links = _forest_ids(a, b, ids, others)
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, one.field("id").type) for c in zip(*links)], names=["a", "b"])
+
+    kind = sets.schema["id"].dataType
+    return both.mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+
+
+def _forest_ids(a: np.ndarray, b: np.ndarray, ids: list, others: list) -> list[tuple]:
+    """Enough of the links to join what they join; a set in both blocks is one."""
+    names = {name: k for k, name in enumerate(dict.fromkeys([*ids, *others]))}
+    back = list(names)
+    own, other = np.array([names[x] for x in ids], np.int64), np.array([names[x] for x in others], np.int64)
+    return [(back[x], back[y]) for x, y in forest(own[a], other[b])]
+
+
+def block_similar(one: list[np.ndarray], two: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of two blocks are similar enough, by products of 0/1 matrices over the tokens of both."""
+    sizes, other_sizes = (np.array([len(r) for r in rows], np.int64) for rows in (one, two))
+    shared = np.intersect1d(np.unique(np.concatenate(one)), np.unique(np.concatenate(two)), assume_unique=True)
+    same = np.zeros((len(one), len(two)), np.float64)
+    cells = []
+    for rows in (one, two):
+        owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        values = np.concatenate(rows)
+        at = np.minimum(np.searchsorted(shared, values), max(len(shared) - 1, 0))
+        on = shared[at] == values if len(shared) else np.zeros(len(values), bool)
+        cells.append((owner[on], at[on]))
+    for low in range(0, len(shared), _COLUMNS):
+        grids = []
+        for rows, (owner, at) in zip((one, two), cells):
+            grid = np.zeros((len(rows), min(_COLUMNS, len(shared) - low)), np.float32)
+            inside = (at >= low) & (at < low + _COLUMNS)
+            grid[owner[inside], at[inside] - low] = 1
+            grids.append(grid)
+        same += grids[0] @ grids[1].T
+    return 100 * same >= percent * (sizes[:, None] + other_sizes[None, :] - same)
+
+
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
 ) -> DataFrame:
@@ -238,8 +313,10 @@ def similar_documents(
         links = found if links is None else links.unionByName(found)
     known = settled(_with_component(members, links))
     still = known.join(_open(known.where("own")).select("id").distinct(), "id")
-    found = settled(_verified(_all_pairs(_open(still), percent), sets, percent))
-    joined = components(links.unionByName(found)).select(F.col("node").alias("rep"), "component")
+    units = settled(_units(_open(still)))
+    found = settled(_verified(_pairs(units, percent), sets, percent))
+    blocked = settled(_block_links(units, sets, percent))
+    joined = components(links.unionByName(found).unionByName(blocked)).select(F.col("node").alias("rep"), "component")
     reps = keyed.join(joined, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     return (signed.join(reps, "key", "left")
             .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id")))

@@ -177,9 +177,13 @@ def test_jaccard(docs, size, percent):
     assert jaccard.similar_documents(empty(docs)).count() == 0
 
 
-def test_jaccard_frequent_tokens(spark, monkeypatch):
-    """Chains of near copies over common passages, so that rounds leave open tokens and combinations decide."""
-    monkeypatch.setattr(jaccard, "FREQUENT", 3)
+@pytest.mark.parametrize("frequent, combined", [(3, 24), (3, 2), (400, 24)])
+def test_jaccard_frequent_tokens(spark, monkeypatch, frequent, combined):
+    """Chains of near copies over common passages, so that rounds leave open tokens and combinations or blocks decide."""
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "MOST_COMBINED", combined)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 16)
+    monkeypatch.setattr(jaccard, "_COLUMNS", 64)
     monkeypatch.setattr(jaccard, "ROUNDS", 1)
     draw = random.Random(5)
     passages = [[f"p{k}w{i}" for i in range(70)] for k in range(3)]
