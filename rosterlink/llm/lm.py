@@ -79,6 +79,29 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, rows + np.arange(len(rows))
 
 
+class _Recent:
+    """Answers to recent keys in a table of fixed size; texts ask for few different n-grams, again and again."""
+
+    def __init__(self, bits: int) -> None:
+        self.keys, self.values = np.full(1 << bits, ~_U(0)), np.zeros(1 << bits, np.int64)
+        self.shift = _U(64 - bits)
+
+    def look_up(self, keys: np.ndarray, answer: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """The value of each key; ``answer`` gets places of keys that are not in the table, each key once."""
+        slots = (keys * _U(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        out = self.values[slots]
+        missing = np.flatnonzero(self.keys[slots] != keys)
+        if len(missing):
+            _, first, place = np.unique(keys[missing], return_index=True, return_inverse=True)
+            first = missing[first]
+            values = answer(first)
+            out[missing] = values[place]
+            # One key for each slot, or key and value could come from two.
+            own, one = np.unique(slots[first], return_index=True)
+            self.keys[own], self.values[own] = keys[first[one]], values[one]
+        return out
+
+
 class Level:
     """One level of the trie, from parts in order."""
 
@@ -104,6 +127,7 @@ class Level:
                                 {a: offsets[f"{s}_{a}"] for a in eliasfano.ARRAYS}, self.starts)
             for k, s in enumerate(_SEQUENCES))
         self.counts, self.chances, self.backs = (arrays[p] for p in _PLAIN)
+        self.recent = _Recent(20)
 
     @staticmethod
     def _lay_out(files: list[str], folder: str, name: str) -> None:
@@ -137,9 +161,13 @@ class Level:
         parts = len(self.sizes)
         if not parts:
             return np.full(len(hashes), -1, np.int64)
-        part = word_part(hashes, parts)
-        found = self.nodes.find(part, hashes, np.zeros(len(hashes), np.int64), self.sizes[part])
-        return np.where(found >= 0, found + self.starts[part], -1)
+
+        def answer(at: np.ndarray) -> np.ndarray:
+            part = word_part(hashes[at], parts)
+            found = self.nodes.find(part, hashes[at], np.zeros(len(at), np.int64), self.sizes[part])
+            return np.where(found >= 0, found + self.starts[part], -1)
+
+        return self.recent.look_up(hashes, answer)
 
     def _place(self, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         part = np.searchsorted(self.first, parent, "right") - 1
@@ -150,6 +178,11 @@ class Level:
         part, own = self._place(parent)
         return self.heads.get(part, own).astype(np.int64) + self.starts[part]
 
+    def recent_successor(self, parent: np.ndarray, key: np.ndarray, name: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """``successor`` with names that are worked out where needed; with its parent a ``key`` stands for one name."""
+        keys = parent.astype(np.uint64) << _U(32) | key.astype(np.uint64)
+        return self.recent.look_up(keys, lambda at: self.successor(parent[at], name(at)))
+
     def successor(self, parent: np.ndarray, name: np.ndarray) -> np.ndarray:
         """Number of the node ``name`` under ``parent``, -1 where there is none."""
         out = np.full(len(parent), -1, np.int64)
@@ -303,7 +336,7 @@ def _pair_nodes(levels: list[Level], hashes: np.ndarray, rows: np.ndarray) -> tu
     after = _pairs_of(hashes, rows, words)
     known = after[(words[after] >= 0) & (words[after - 1] >= 0)]
     nodes = np.full(len(hashes), -1, np.int64)
-    nodes[known] = levels[1].successor(words[known - 1], words[known])
+    nodes[known] = levels[1].recent_successor(words[known - 1], words[known], lambda at: words[known[at]])
     return words, after, nodes
 
 
@@ -451,8 +484,8 @@ def token_scores(levels: list[Level], model: Model, hashes: np.ndarray, rows: np
     third = after[nodes[after - 1] >= 0]
     out[third] += levels[2].back(nodes[third - 1])
     both = third[nodes[third] >= 0]
-    name = nodes[both] - levels[1].head(words[both - 1])
-    triple = levels[2].successor(nodes[both - 1], name)
+    triple = levels[2].recent_successor(
+        nodes[both - 1], nodes[both], lambda at: nodes[both[at]] - levels[1].head(words[both[at] - 1]))
     out[both[triple >= 0]] = levels[2].chance(triple[triple >= 0])
     return base, known, out
 
