@@ -108,7 +108,11 @@ def read_rows(
     if short is not None:
         raise missing_error(f"Missing columns: {short['path']!r} is missing required columns: {short['missing']}")
     columns = _union_columns(headers)
-    order = free_names(columns, "_path", "_line")
+    # Spark does not tell columns apart by case, so a later one that differs only there gets an underscore.
+    named: list[str] = []
+    for column in columns:
+        named += free_names(named, column)
+    order = free_names(named, "_path", "_line")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -117,19 +121,20 @@ def read_rows(
                 for chunk in file_chunks(path, content, header_mark, sheet_name, sep=sep):
                     rows = chunk.reindex(columns=columns).astype(object)
                     rows = rows.where(rows.notna(), None).reset_index(drop=True)
+                    rows.columns = named
                     rows[order[0]] = path
                     rows[order[1]] = range(line, line + len(rows))
                     line += len(rows)
                     yield rows
 
     schema = StructType(
-        [StructField(c, StringType()) for c in columns]
+        [StructField(c, StringType()) for c in named]
         + [StructField(order[0], StringType()), StructField(order[1], LongType())]
     )
     rows = files.mapInPandas(read, schema)
     # Path and line tell all rows apart; the rows are decoded once, when they are numbered.
     placed = numbered(rows, [F.col(name) for name in order], SOURCE_ROW)
-    return placed.select(*[quoted(c) for c in columns if c != SOURCE_ROW], SOURCE_ROW)
+    return placed.select(*[quoted(c) for c in named if c != SOURCE_ROW], SOURCE_ROW)
 
 
 def load_linkedin_connections(

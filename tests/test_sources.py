@@ -107,3 +107,13 @@ def test_registrants(spark, tmp_path):
         load_registrants(str(tmp_path / "bad.csv"), spark=spark)
     with pytest.raises(FileNotFoundError):
         load_registrants(str(tmp_path / "nope.csv"), spark=spark)
+
+
+def test_tabs_given_separators_and_clashing_columns(spark, tmp_path):
+    (tmp_path / "Connections_1.csv").write_text(
+        "First Name\tLast Name\t_path\tname\tLAST NAME\n" "Anne\tDurand, X\tp\tn\tl\n", encoding="utf-8")
+    df = load_linkedin_connections(str(tmp_path), spark=spark)
+    row = df.first()
+    assert (row["Name"], row["_path"], row["name_"], row["LAST NAME_"]) == ("DURAND, X, Anne", "p", "n", "l")
+    (tmp_path / "piped.csv").write_text("First Name|Last Name|Email\nBob|Roy|b@x\n", encoding="utf-8")
+    assert load_registrants(str(tmp_path / "piped.csv"), spark=spark, sep="|").first()["Name"] == "ROY, Bob"
