@@ -43,7 +43,7 @@ from .words import chunks, mix, sequence_hashes, text_buffers, word_hashes
 
 WORDS, PERCENT = 3, 90
 # Rounds of comparing with one other set each.
-ROUNDS = 3
+ROUNDS = 2
 # A token held by more sets is frequent; sets with more frequent tokens than the second index each alone.
 FREQUENT, MOST_COMBINED = 32, 24
 # Sets of a block, and tokens multiplied at once.
