@@ -30,6 +30,8 @@ MIN_CHARS, MIN_DOCS = 40, 5
 # Bits of each filter at most; beyond, more lines are shuffled.
 MOST_BITS = 1 << 26
 _HASHES = 3
+# Tasks that the rows of one key are dealt to.
+_SALTS = 8
 # Hashes a task gathers before it puts them into its filters.
 _PENDING = 1 << 20
 
@@ -147,7 +149,10 @@ def drop_repeated_lines(
     suspects = settled(_suspects(narrow, seen, min_chars))
     repeated = (suspects.groupBy("key", "id").agg(F.lit(1).alias("_one")).groupBy("key")
                 .agg(F.count("*").alias("docs"), F.max("id").alias("keeper")).where(F.col("docs") >= min_docs))
-    dropped = (suspects.join(repeated, "key").where(~F.col("id").eqNullSafe(F.col("keeper")))
+    # A key may be in a third of all documents: its rows are dealt to several tasks.
+    salted = suspects.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)))
+    repeated = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    dropped = (salted.join(repeated, ["key", "salt"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
                .groupBy("id").agg(F.collect_set("key").alias("keys")))
     joined = wide.alias("d").join(dropped.alias("k"), F.col("d.id").eqNullSafe(F.col("k.id")), "left")
     joined = joined.select("d.row", "d.id", "d.text", "k.keys")
