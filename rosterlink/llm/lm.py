@@ -5,13 +5,14 @@ pass knows the levels before it. A level is a list of parts, each coded by the
 task that holds its keys:
 
 * Words: ascending hashes; the place of a word is its number. Exact counts.
-* Pairs and triples: for each node of the level before, a pointer to its first
+* Pairs and triples: for each parent, a node of the level before, a pointer to its first
   successor (pointers are monotone), and the successors made monotone by
   adding the last value of the group before. The successor of a pair in a
   triple is named by its place among the successors of the pair's second word,
   a small number, so it is searched relative to its context.
 
-Nodes hold their smoothed log probability and what is left for words not among
+A blocked Bloom filter beside each part tells most absent successors without a
+search. Nodes hold their smoothed log probability and what is left for words not among
 their successors, both quantised to 16 bits: absolute discounting,
 interpolated with the next shorter context, and add-one for single words.
 N-grams seen less than ``MIN_COUNTS`` times have no node; their mass stays with
@@ -29,6 +30,7 @@ empty texts are one end. Without training rows every token is unknown.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 
 from ..store import settled
 from . import eliasfano
-from .words import chunks, text_buffers, word_hashes
+from .words import chunks, mix, text_buffers, word_hashes
 
 # Least counts of words, pairs and triples that have a node.
 MIN_COUNTS = (1, 2, 2)
@@ -56,7 +58,9 @@ _U = np.uint64
 END = _U(0x5851F42D4C957F2D)
 _OTHER = (1 << 32) - 1
 
-_PLAIN = {"counts": np.uint32, "chances": np.uint16, "backs": np.uint16}
+_PLAIN = {"counts": np.uint32, "chances": np.uint16, "backs": np.uint16, "marks": np.uint64}
+# Nodes for each word of the marks that tell most absent successors without a search.
+_NODES_A_MARK = 6
 _SEQUENCES = ("heads", "nodes")
 _FIELDS = [f"{s}_{a}" for s in _SEQUENCES for a in eliasfano.ARRAYS] + list(_PLAIN)
 _PART_SCHEMA = "part bigint, size bigint, parents bigint, heads_width int, nodes_width int, total bigint, " + ", ".join(
@@ -87,18 +91,14 @@ class _Recent:
         self.shift = _U(64 - bits)
 
     def look_up(self, keys: np.ndarray, answer: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-        """The value of each key; ``answer`` gets places of keys that are not in the table, each key once."""
+        """The value of each key; ``answer`` gets the places of those that are not in the table."""
         slots = (keys * _U(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
         out = self.values[slots]
         missing = np.flatnonzero(self.keys[slots] != keys)
         if len(missing):
-            _, first, place = np.unique(keys[missing], return_index=True, return_inverse=True)
-            first = missing[first]
-            values = answer(first)
-            out[missing] = values[place]
-            # One key for each slot, or key and value could come from two.
-            own, one = np.unique(slots[first], return_index=True)
-            self.keys[own], self.values[own] = keys[first[one]], values[one]
+            out[missing] = values = answer(missing)
+            # Of several keys in a slot the last stays, in both tables.
+            self.keys[slots[missing]], self.values[slots[missing]] = keys[missing], values
         return out
 
 
@@ -108,8 +108,13 @@ class Level:
     def __init__(self, files: list[str], name: str) -> None:
         folder = SparkFiles.getRootDirectory()
         done = os.path.join(folder, f"{name}.npz")
-        if not os.path.exists(done):
-            self._lay_out(files, folder, name)
+        try:
+            if not os.path.exists(done):
+                self._lay_out(files, folder, name)
+        except FileNotFoundError:
+            # Another worker of this executor was faster, and took the files away.
+            if not os.path.exists(done):
+                raise
         facts = np.load(done)
         self.sizes, self.parents, widths = facts["sizes"], facts["parents"], facts["widths"]
         self.total = int(facts["totals"].sum())
@@ -126,7 +131,8 @@ class Level:
             eliasfano.EliasFano({a: arrays[f"{s}_{a}"] for a in eliasfano.ARRAYS}, widths[k],
                                 {a: offsets[f"{s}_{a}"] for a in eliasfano.ARRAYS}, self.starts)
             for k, s in enumerate(_SEQUENCES))
-        self.counts, self.chances, self.backs = (arrays[p] for p in _PLAIN)
+        self.counts, self.chances, self.backs, self.marks = (arrays[p] for p in _PLAIN)
+        self.marks_at = offsets["marks"]
         self.recent = _Recent(20)
 
     @staticmethod
@@ -155,6 +161,10 @@ class Level:
                      widths=np.array([[c["heads_width"] for c in chosen], [c["nodes_width"] for c in chosen]], np.int64).reshape(2, -1),
                      totals=np.array([c["total"] for c in chosen], np.int64), lengths=lengths)
         os.replace(f"{done}.{tag}", done)
+        # The executor's own copies of the part files are not needed any more.
+        for file in files:
+            with contextlib.suppress(FileNotFoundError):
+                os.remove(SparkFiles.get(file))
 
     def word(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words, -1 for unknown ones."""
@@ -189,9 +199,15 @@ class Level:
         if not len(self.sizes):
             return out
         part, own = self._place(parent)
+        at, bits = _mark(own, name, np.diff(self.marks_at)[part])
+        maybe = np.flatnonzero(self.marks[self.marks_at[part] + at] & bits == bits)
+        out[maybe] = self._search(part[maybe], own[maybe], name[maybe])
+        return out
+
+    def _search(self, part: np.ndarray, own: np.ndarray, name: np.ndarray) -> np.ndarray:
         first = self.heads.get(part, own).astype(np.int64)
         end = self.heads.get(part, own + 1).astype(np.int64)
-        base = np.zeros(len(parent), np.uint64)
+        base = np.zeros(len(own), np.uint64)
         behind = np.flatnonzero((first > 0) & (first < end))
         base[behind] = self.nodes.get(part[behind], first[behind] - 1)
         found = self.nodes.find(part, base + name.astype(np.uint64), first, end)
@@ -207,6 +223,14 @@ class Level:
         return _numbers(self.chances[node])
 
 
+def _mark(own: np.ndarray, name: np.ndarray, size: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """Which word of the marks stands for a successor, and its three bits there."""
+    values = mix(own.astype(np.uint64) << _U(32) | name.astype(np.uint64))
+    at = ((values >> _U(32)) * np.asarray(size).astype(np.uint64) >> _U(32)).astype(np.int64)
+    bits = _U(1) << (values & _U(63)) | _U(1) << (values >> _U(6) & _U(63)) | _U(1) << (values >> _U(12) & _U(63))
+    return at, bits
+
+
 def word_part(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
 
@@ -319,8 +343,11 @@ def _successor_part(low: int, high: int, parent: np.ndarray, name: np.ndarray, c
     ends = heads[1:][sizes > 0] - 1
     # What each group adds is the last value of the group before it.
     base = np.repeat(np.concatenate([[0], np.cumsum(name[ends])[:-1]]) if len(ends) else np.zeros(0), sizes[sizes > 0])
+    at, bits = _mark(parent - low, name, len(parent) // _NODES_A_MARK + 1)
+    marks = np.zeros(len(parent) // _NODES_A_MARK + 1, np.uint64)
+    np.bitwise_or.at(marks, at, bits)
     return (len(parent), high - low, int(totals.sum()), {"heads": heads, "nodes": base.astype(np.uint64) + name.astype(np.uint64)},
-            {"chances": quantised(np.log10(chance)), "backs": quantised(np.log10(np.maximum(left, 1e-16)))})
+            {"marks": marks, "chances": quantised(np.log10(chance)), "backs": quantised(np.log10(np.maximum(left, 1e-16)))})
 
 
 def _pairs_of(hashes: np.ndarray, rows: np.ndarray, words: np.ndarray) -> np.ndarray:
