@@ -45,7 +45,7 @@ WORDS, PERCENT = 3, 90
 # Rounds of comparing with one other set each.
 ROUNDS = 2
 # A token held by more sets is frequent; sets with more frequent tokens than the second index each alone.
-FREQUENT, MOST_COMBINED = 32, 24
+FREQUENT, MOST_COMBINED = 32, 8
 # Sets of a block, and tokens multiplied at once.
 BLOCK_SETS, _COLUMNS = 128, 1 << 14
 # Bits of the hash that stand for a token in the index; sets are compared with all 64.
