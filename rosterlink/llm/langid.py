@@ -218,7 +218,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(most_rows)) / F.count("*")).alias("share"))
-    rows = rows.withColumn("draw", F.xxhash64("text")).join(sizes, "lang")
+    # One row for each language, of which the models hold a column each; joined by shuffle, a language would be one task.
+    rows = rows.withColumn("draw", F.xxhash64("text")).join(F.broadcast(sizes), "lang")
     rows = rows.where(F.pmod("draw", F.lit(1_000_003)) < F.col("share") * 1_000_003)
     aside = F.pmod(F.shiftright("draw", 32), F.lit(10)) == 0
 
