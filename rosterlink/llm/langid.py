@@ -95,7 +95,7 @@ class Models:
         """Log2 probability of the character at each place, a column for each language."""
         out = np.zeros((len(places), len(self.languages)), np.float32)
         open_rows = np.arange(len(places))
-        for size in range(ORDER, 0, -1):
+        for size in range(len(self.grams) - 1, 0, -1):
             values = gram_hashes(codes, size)[places[open_rows]]
             rows, found = _lookup(self.grams[size], values)
             out[open_rows[found]] += self.chances[size][rows[found]]
