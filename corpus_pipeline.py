@@ -11,6 +11,8 @@ from rosterlink.store import settled
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: Words of a shingle, and the least similarity of near copies; the query ``op9_jaccard`` has other values.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of similar ones."""
-    judged = jaccard.similar_documents(docs)
+    judged = jaccard.similar_documents(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     gone = judged.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 

@@ -1,7 +1,10 @@
 """The pipeline's stages, one after another, on a small table."""
 
+import random
+
 import corpus_pipeline
 import pytest
+from test_texts import plain_sets, roots
 
 from rosterlink.store import settled
 
@@ -44,3 +47,24 @@ def test_stages_take_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             table = settled(stage(spark, table, SMALL))
         table.collect()
+
+
+def plain_least(texts, size=5, percent=80):
+    """Ids of the least documents of all groups, from all pairs."""
+    sets = plain_sets(texts, size)
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    return {i for i, least in roots(links, sets).items() if i == least}
+
+
+def test_near_copies_with_tails_and_cuts(spark):
+    """Tails and cuts around the least similarity: alike at five words and 0.8, many of them not at three words and 0.9."""
+    draw, texts = random.Random(3), {}
+    for i in range(12):
+        words = [f"w{draw.randrange(4000)}" for _ in range(100)]
+        tail = [f"t{draw.randrange(4000)}" for _ in range(40)]
+        for text in (words, words + tail[: 5 + 3 * i], words[: 97 - 3 * i]):
+            texts[len(texts)] = " ".join(text)
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts.items()], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()}
+    assert kept == plain_least(texts) and kept != plain_least(texts, 3, 90) and len(kept) > 12
