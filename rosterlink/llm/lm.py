@@ -421,6 +421,8 @@ def train(texts: DataFrame, text_col: str = "text", min_counts: tuple[int, int,
     coded = _coded(_counted(texts, model.levels, parts, pair_keys, pair_part), model.levels, pair_code)
     model.levels.append(_shipped(_filled(coded, edges)))
     nodes = int(coded.agg(F.sum("size")).first()[0] or 0)
+    if nodes > _OTHER:
+        raise OverflowError(f"{nodes} pairs have nodes, more than 32 bits can number")
     ends = np.arange(parts + 1) * nodes // parts
 
     def triple_keys(levels, hashes, rows):

@@ -89,7 +89,8 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of all documents, learnt from six folds in seven."""
     docs = table(spark, sf_dir, "documents")
-    model = lm.train(docs.where(_remainder(7) != 2))
+    # Every pair and triple has a node, those seen once too.
+    model = lm.train(docs.where(_remainder(7) != 2), min_counts=(1, 1, 1))
     return lm.score_texts(docs, model).select(
         "doc_id", (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 

@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from rosterlink.llm import bpe, jaccard, langid, lines, lm, mixing, quality
+from rosterlink.llm import bpe, jaccard, langid, lines, lm, mixing, quality, queries
 from rosterlink.llm.queries import RANKS
 from rosterlink.llm.words import text_buffers, word_hashes
 
@@ -294,6 +294,38 @@ def test_lm_against_a_plain_model(spark, docs):
     assert lm.score_texts(empty(docs), model).count() == 0
 
 
+def test_lm_query_keeps_rare_sequences(spark, docs, tmp_path):
+    """The query's scores are those of a plain model in which pairs and triples seen once count like all others."""
+    texts = texts_of(docs)
+    split = {i: [*words_of(t), None] for i, t in texts.items()}
+    single, pairs, triples = Counter(), Counter(), Counter()
+    for i, w in split.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            single.update(w), pairs.update(zip(w, w[1:])), triples.update(zip(w, w[1:], w[2:]))
+    after, kinds = Counter(), Counter()
+    for grams in (pairs, triples):
+        for g, n in grams.items():
+            after[g[:-1]] += n
+            kinds[g[:-1]] += 1
+
+    def chance(h, w):
+        if not h:
+            return (single[w] + 1) / (sum(single.values()) + len(single) + 1)
+        shorter = chance(h[1:], w)
+        if not after[h]:
+            return shorter
+        seen = (pairs if len(h) == 1 else triples)[(*h, w)]
+        return (max(seen - 0.75, 0) + 0.75 * kinds[h] * shorter) / after[h]
+
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op10_lm(spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts) and 0 < sum(r.held_out for r in rows) < len(rows)
+    for r in rows:
+        w = split[r.doc_id]
+        score = sum(math.log10(chance(tuple(w[max(0, k - 2): k]), x)) for k, x in enumerate(w))
+        assert abs(r.score - score) <= 2e-3 * len(w)
+
+
 def test_language(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = (table.doc_id % 5) == 0
