@@ -18,11 +18,12 @@ interpolated with the next shorter context, and add-one for single words.
 N-grams seen less than ``MIN_COUNTS`` times have no node; their mass stays with
 the shorter context, so probabilities of a context sum to one.
 
-The parts are Parquet rows in the shared folder. ``SparkContext.addFile``
-brings them to each executor, where they are laid out once as plain arrays and
-memory-mapped by all its workers. So the model must fit an executor's disk,
-not its memory; it grows with the n-grams of the corpus, and higher
-``min_counts`` make it smaller.
+The parts are Parquet rows in the shared folder. Where that is a mounted one,
+each part is laid out there once, in plain arrays that all workers memory-map:
+they read what they look up and copy nothing. From a store that only Spark
+reads, ``SparkContext.addFile`` brings the parts to each executor, which lays
+them out on its own disk; there the model must fit that disk. It grows with the
+n-grams of the corpus, and higher ``min_counts`` make it smaller.
 
 A text is its words (A-Z lower-cased) and one end, which is a token. Null and
 empty texts are one end. Without training rows every token is unknown.
@@ -35,6 +36,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote, urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +65,7 @@ _PLAIN = {"counts": np.uint32, "chances": np.uint16, "backs": np.uint16, "marks"
 _NODES_A_MARK = 6
 _SEQUENCES = ("heads", "nodes")
 _FIELDS = [f"{s}_{a}" for s in _SEQUENCES for a in eliasfano.ARRAYS] + list(_PLAIN)
+_KINDS = {f"{s}_{a}": t for s in _SEQUENCES for a, t in eliasfano.ARRAYS.items()} | _PLAIN
 _PART_SCHEMA = "part bigint, size bigint, parents bigint, heads_width int, nodes_width int, total bigint, " + ", ".join(
     f"{f} binary" for f in _FIELDS)
 
@@ -105,12 +108,12 @@ class _Recent:
 class Level:
     """One level of the trie, from parts in order."""
 
-    def __init__(self, files: list[str], name: str) -> None:
-        folder = SparkFiles.getRootDirectory()
+    def __init__(self, files: Files) -> None:
+        name, folder = files.name, files.folder or SparkFiles.getRootDirectory()
         done = os.path.join(folder, f"{name}.npz")
         try:
-            if not os.path.exists(done):
-                self._lay_out(files, folder, name)
+            if not files.folder and not os.path.exists(done):
+                self._lay_out(list(files.files), folder, name)
         except FileNotFoundError:
             # Another worker of this executor was faster, and took the files away.
             if not os.path.exists(done):
@@ -121,12 +124,11 @@ class Level:
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
         self.first = np.concatenate([[0], np.cumsum(self.parents)])
         offsets = {f: np.concatenate([[0], np.cumsum(facts["lengths"][k])]) for k, f in enumerate(_FIELDS)}
-        kinds = {f"{s}_{a}": t for s in _SEQUENCES for a, t in eliasfano.ARRAYS.items()} | _PLAIN
         arrays = {}
         for field in _FIELDS:
             path = os.path.join(folder, f"{name}.{field}")
             count = int(offsets[field][-1])
-            arrays[field] = np.memmap(path, kinds[field], "r", shape=(count,)) if count else np.zeros(0, kinds[field])
+            arrays[field] = np.memmap(path, _KINDS[field], "r", shape=(count,)) if count else np.zeros(0, _KINDS[field])
         self.heads, self.nodes = (
             eliasfano.EliasFano({a: arrays[f"{s}_{a}"] for a in eliasfano.ARRAYS}, widths[k],
                                 {a: offsets[f"{s}_{a}"] for a in eliasfano.ARRAYS}, self.starts)
@@ -140,7 +142,6 @@ class Level:
         """Write the arrays of all parts as plain files, first by their numbers; the last file is the sign of success."""
         rows = sorted(((r, f, i) for f in files for i, r in enumerate(pq.read_table(SparkFiles.get(f), columns=["part"])["part"].to_pylist())))
         tag, lengths = uuid.uuid4().hex, np.zeros((len(_FIELDS), len(rows)), np.int64)
-        kinds = {f"{s}_{a}": t for s in _SEQUENCES for a, t in eliasfano.ARRAYS.items()} | _PLAIN
         facts = {f: pq.read_table(SparkFiles.get(f), columns=["size", "parents", "heads_width", "nodes_width", "total"]).to_pylist() for f in files}
         for k, field in enumerate(_FIELDS):
             path = os.path.join(folder, f"{name}.{field}")
@@ -151,16 +152,10 @@ class Level:
                     if file not in held:
                         held = {file: pq.read_table(SparkFiles.get(file), columns=[field])[field].to_pylist()}
                     blob = held[file][row] or b""
-                    lengths[k, at] = len(blob) // np.dtype(kinds[field]).itemsize
+                    lengths[k, at] = len(blob) // np.dtype(_KINDS[field]).itemsize
                     out.write(blob)
             os.replace(f"{path}.{tag}", path)
-        chosen = [facts[f][i] for _, f, i in rows]
-        done = os.path.join(folder, f"{name}.npz")
-        with open(f"{done}.{tag}", "wb") as out:
-            np.savez(out, sizes=np.array([c["size"] for c in chosen], np.int64), parents=np.array([c["parents"] for c in chosen], np.int64),
-                     widths=np.array([[c["heads_width"] for c in chosen], [c["nodes_width"] for c in chosen]], np.int64).reshape(2, -1),
-                     totals=np.array([c["total"] for c in chosen], np.int64), lengths=lengths)
-        os.replace(f"{done}.{tag}", done)
+        _save_facts(os.path.join(folder, name), [facts[f][i] for _, f, i in rows], lengths)
         # The executor's own copies of the part files are not needed any more.
         for file in files:
             with contextlib.suppress(FileNotFoundError):
@@ -235,12 +230,23 @@ def word_part(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
 
 
+def _save_facts(base: str, rows: list, lengths: np.ndarray) -> None:
+    """Write what is known of the parts, in their order; ``lengths`` are items of each field and part."""
+    tag = uuid.uuid4().hex
+    with open(f"{base}.npz.{tag}", "wb") as out:
+        np.savez(out, sizes=np.array([r["size"] for r in rows], np.int64), parents=np.array([r["parents"] for r in rows], np.int64),
+                 widths=np.array([[r["heads_width"] for r in rows], [r["nodes_width"] for r in rows]], np.int64).reshape(2, -1),
+                 totals=np.array([r["total"] for r in rows], np.int64), lengths=lengths)
+    os.replace(f"{base}.npz.{tag}", f"{base}.npz")
+
+
 @dataclass(frozen=True)
 class Files:
-    """A level as the files its parts are in."""
+    """A level as the files its parts are in, or as arrays in a mounted folder."""
 
     name: str
     files: tuple[str, ...]
+    folder: str | None = None
 
 
 _LEVELS: dict[str, Level] = {}
@@ -252,17 +258,49 @@ def _levels(shipped: list[Files]) -> list[Level]:
         del _LEVELS[name]
     for f in shipped:
         if f.name not in _LEVELS:
-            _LEVELS[f.name] = Level(list(f.files), f.name)
+            _LEVELS[f.name] = Level(f)
     return [_LEVELS[f.name] for f in shipped]
 
 
 def _shipped(parts: DataFrame) -> Files:
     paths = parts.inputFiles()
+    if paths and all(urlsplit(p).scheme == "file" for p in paths):
+        return _laid_out(parts, os.path.dirname(os.path.dirname(unquote(urlsplit(paths[0]).path))))
     for path in paths:
         parts.sparkSession.sparkContext.addFile(path)
     return Files(uuid.uuid4().hex, tuple(os.path.basename(p) for p in paths))
 
 
+def _laid_out(parts: DataFrame, folder: str) -> Files:
+    """Each task writes the arrays of its parts to their places in the level's files; the driver sees sizes only."""
+    files = Files(uuid.uuid4().hex, (), folder)
+    base = os.path.join(folder, files.name)
+    facts = parts.select("part", "size", "parents", "heads_width", "nodes_width", "total", *[
+        F.coalesce(F.length(f), F.lit(0)).cast("long").alias(f) for f in _FIELDS]).collect()
+    facts.sort(key=lambda r: r.part)
+    lengths = np.array([[r[f] for r in facts] for f in _FIELDS], np.int64).reshape(len(_FIELDS), -1)
+    starts = np.cumsum(lengths, axis=1) - lengths
+    places = {r.part: starts[:, k].tolist() for k, r in enumerate(facts)}
+    for field, size in zip(_FIELDS, lengths.sum(axis=1).tolist()):
+        with open(f"{base}.{field}", "wb") as out:
+            out.truncate(size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).to_pylist()
+            for k, field in enumerate(_FIELDS):
+                with open(f"{base}.{field}", "r+b") as out:
+                    for part, blob in zip(own, batch.column(k + 1)):
+                        if blob.is_valid:
+                            out.seek(places[part][k])
+                            out.write(blob.as_buffer())
+            yield pa.RecordBatch.from_arrays([pa.array([len(own)], pa.int64())], names=["written"])
+
+    parts.select("part", *_FIELDS).mapInArrow(run, "written bigint").agg(F.sum("written")).collect()
+    _save_facts(base, facts, lengths // np.array([[np.dtype(_KINDS[f]).itemsize] for f in _FIELDS]))
+    return files
+
+
 def _key_rows(keys: np.ndarray, counts: np.ndarray, part_of: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
     """A row for each part: keys seen once, and other keys with their counts."""
     parts = part_of(keys)

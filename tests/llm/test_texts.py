@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from urllib.parse import urlsplit
 
 import numpy as np
 import pytest
@@ -326,6 +327,20 @@ def test_lm_query_keeps_rare_sequences(spark, docs, tmp_path):
         assert abs(r.score - score) <= 2e-3 * len(w)
 
 
+def test_lm_parts_are_not_copied_from_a_mounted_folder(spark, docs, monkeypatch):
+    """Nothing goes through the driver's file server; a store that only Spark reads gives the same scores."""
+    sent, add = [], type(spark.sparkContext).addFile
+    monkeypatch.setattr(type(spark.sparkContext), "addFile", lambda self, path, *a: (sent.append(path), add(self, path, *a)))
+
+    def scores():
+        return sorted(tuple(r) for r in lm.score_texts(docs, lm.train(docs, min_counts=(1, 1, 1))).collect())
+
+    mapped = scores()
+    assert not sent
+    monkeypatch.setattr(lm, "urlsplit", lambda path: urlsplit("viewfs:" + path))
+    assert scores() == mapped and sent
+
+
 def test_language(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = (table.doc_id % 5) == 0
