@@ -32,11 +32,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..store import numbered, settled
+from . import bits
 from .components import components
 from .neardup import forest
 from .words import chunks, mix, sequence_hashes, text_buffers, word_hashes
@@ -150,13 +152,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.mapInArrow(run, T.StructType([sized.schema["a"], sized.schema["b"]]))
 
 
+def _id_filter(wanted: DataFrame) -> np.ndarray:
+    """A filter of the ids: tasks set the bits, the driver gets the merged slices only."""
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = np.zeros(_FILTER_BITS // 8, np.uint8)
+        for batch in batches:
+            places = batch.column(0).to_numpy()
+            np.bitwise_or.at(state, places >> 3, (1 << (places & 7)).astype(np.uint8))
+        yield from bits.slices(TaskContext.get().partitionId(), state)
+
+    placed = wanted.select(F.pmod(F.xxhash64("id"), F.lit(_FILTER_BITS)).cast("long").alias("at"))
+    tasks = placed.rdd.getNumPartitions()
+    return bits.collected(bits.merged(placed.mapInArrow(gather, bits.SCHEMA), tasks, np.bitwise_or), _FILTER_BITS // 8)
+
+
 def _chosen_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``id, key, tokens`` of the documents in ``wanted`` and a few more: a Bloom filter of fixed size spares the others a shuffle."""
-    bits = np.zeros(_FILTER_BITS // 8, np.uint8)
-    for row in wanted.select((F.pmod(F.xxhash64("id"), F.lit(_FILTER_BITS))).alias("at")).groupBy(
-            F.shiftright("at", 18).alias("part")).agg(F.collect_set("at").alias("places")).toLocalIterator():
-        np.bitwise_or.at(bits, np.array(row.places) >> 3, (1 << (np.array(row.places) & 7)).astype(np.uint8))
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

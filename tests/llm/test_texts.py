@@ -202,6 +202,14 @@ def test_jaccard_frequent_tokens(spark, monkeypatch, frequent, combined):
     assert 3 < len(set(expected.values())) < 150
 
 
+def test_jaccard_driver_gets_slices_of_the_filter(docs, monkeypatch):
+    """No lists of ids or of their places on the driver."""
+    seen, each = [], type(docs).toLocalIterator
+    monkeypatch.setattr(type(docs), "toLocalIterator", lambda self, *a: (seen.append(self.columns), each(self, *a))[1])
+    groups = jaccard.similar_documents(docs).groupBy("component_id").count().where("count > 1").count()
+    assert groups and seen == [["slice", "state"]]
+
+
 def plain_targets(sizes, weights=(5, 2, 1), most=3):
     names = sorted(n for n in sizes if n is not None) + [n for n in sizes if n is None]
     weight = {n: weights[k % len(weights)] for k, n in enumerate(names)}
