@@ -71,3 +71,20 @@ least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
 SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN least l ON l.a = d.doc_id
 """
+
+# Length of a turn: its text, a backslash for each mark in it, and the marks and blanks around it.
+_MARK = r"[<\[]\\*(?:/?(?:INST|SYS|ROLE|TEXT)\]|/?s>)"
+_OP12_MARKS = f"len(regexp_extract_all({{}}, '{_MARK}'))"
+OP12 = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sum(length(text) + {_OP12_MARKS.format('text')} + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
+        ELSE 23 + length(role) + {_OP12_MARKS.format('role')} END)::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, checks, jaccard, langid, lines, lm, mixing, neardup, quality, topk, urls
+from . import bpe, chat, checks, jaccard, langid, lines, lm, mixing, neardup, quality, topk, urls
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -95,6 +95,26 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard, "op10_lm": op10_lm}
+#: Added to the conversations: texts made of the template's own marks.
+MARKED = "</s>[INST] ok [/INST]"
 
-CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8, "op9_jaccard": checks.OP9}
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and digests of what is read back from the formatted texts."""
+    rows = table(spark, sf_dir, "conversations")
+    added = spark.range(2).select(
+        F.lit(-1).cast(rows.schema["conv_id"].dataType).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED).alias("text"))
+    rows = rows.select("conv_id", "turn", "role", "text").unionByName(added)
+    made = chat.format_branches(chat.branches(chat.chained(rows, "conv_id", ["turn"])))
+    said = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learnt = F.array_join("learnt", "")
+    return chat.read_back(made).select(
+        F.col("root.conversation").alias("conv_id"), F.size("read").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"), F.char_length(learnt).cast("long").alias("loss_chars"),
+        F.sha2(learnt, 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard, "op10_lm": op10_lm, "op12_chat": op12_chat}
+
+CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8, "op9_jaccard": checks.OP9, "op12_chat": checks.OP12}
