@@ -88,3 +88,30 @@ SELECT conv_id, count(*) AS n_turns,
         ELSE 23 + length(role) + {_OP12_MARKS.format('role')} END)::BIGINT AS formatted_chars
 FROM rows GROUP BY conv_id
 """
+
+OP11 = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3]) AS k))),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 10),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, cut, x.f AS l, y.f AS r,
+        (1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w FROM counts WHERE k > 1) c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : cut], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1 : c.k], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_runs AS (
+    SELECT lang, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase, f
+    FROM (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k = 3)),
+longer AS (SELECT lang, phrase, max(f) AS f FROM inner_runs GROUP BY ALL),
+ranked AS (
+    SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, encode(c.phrase)) AS rank
+    FROM lowest c LEFT JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase WHERE g.f IS NULL OR 100 * g.f < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""

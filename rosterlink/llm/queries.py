@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, checks, jaccard, langid, lines, lm, mixing, neardup, quality, topk, urls
+from . import bpe, chat, checks, jaccard, langid, lines, lm, mixing, neardup, phrases, quality, topk, urls
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -95,6 +95,11 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of each language in all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 #: Added to the conversations: texts made of the template's own marks.
 MARKED = "</s>[INST] ok [/INST]"
 
@@ -115,6 +120,6 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(learnt, 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard, "op10_lm": op10_lm, "op12_chat": op12_chat}
+QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard, "op10_lm": op10_lm, "op11_phrases": op11_phrases, "op12_chat": op12_chat}
 
-CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8, "op9_jaccard": checks.OP9, "op12_chat": checks.OP12}
+CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8, "op9_jaccard": checks.OP9, "op11_phrases": checks.OP11, "op12_chat": checks.OP12}
