@@ -115,3 +115,42 @@ ranked AS (
     FROM lowest c LEFT JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase WHERE g.f IS NULL OR 100 * g.f < 50 * a)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
 """
+
+# crc32 byte by byte: the table of its 256 remainders, then one step for each byte.
+_CRC_STEP = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)::UBIGINT"
+OP13 = rf"""
+WITH RECURSIVE remainders(i, c, step) AS (
+    SELECT i::UBIGINT, i::UBIGINT, 0 FROM range(256) t(i)
+    UNION ALL SELECT i, {_CRC_STEP}, step + 1 FROM remainders WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM remainders WHERE step = 8),
+runs AS (
+    SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+'))")} AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+spelt AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM counted),
+summed AS (
+    SELECT run, n, xor(list_reduce(
+        list_transform(range(len(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::UBIGINT),
+        lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::BIGINT])::UBIGINT, 4294967295::UBIGINT), 4294967295::UBIGINT) AS h
+    FROM spelt, crc),
+results AS (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word
+    FROM summed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM results WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+gone AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM gone a JOIN gone b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM gone a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM gone a JOIN words b ON a.rest = b.word),
+best AS (
+    SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS other, max(n) AS n FROM near GROUP BY word),
+judged AS (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.n >= 10 * w.n THEN b.other END AS form,
+        CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word),
+ways(word, spot) AS (
+    SELECT word, word FROM judged UNION ALL SELECT w.word, j.form FROM ways w JOIN judged j ON j.word = w.spot WHERE j.form IS NOT NULL),
+roots AS (SELECT w.word, w.spot AS root FROM ways w JOIN judged j ON j.word = w.spot WHERE j.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN roots USING (word)
+"""

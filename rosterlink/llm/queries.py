@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, checks, jaccard, langid, lines, lm, mixing, neardup, phrases, quality, topk, urls
+from . import bpe, chat, checks, jaccard, langid, lines, lm, mixing, neardup, phrases, quality, topk, urls, variants
 
 #: The rank file of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -120,6 +120,11 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(learnt, 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard, "op10_lm": op10_lm, "op11_phrases": op11_phrases, "op12_chat": op12_chat}
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usual forms of the words of all documents, with planted misspellings."""
+    return variants.variant_groups(variants.word_counts(table(spark, sf_dir, "documents"), spoil=31))
 
-CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8, "op9_jaccard": checks.OP9, "op11_phrases": checks.OP11, "op12_chat": checks.OP12}
+
+QUERIES = {"op1_neardup": op1_neardup, "op2_quality": op2_quality, "op3_langid": op3_langid, "op4_mixing": op4_mixing, "op5_topk": op5_topk, "op6_urls": op6_urls, "op7_bpe": op7_bpe, "op8_lines": op8_lines, "op9_jaccard": op9_jaccard, "op10_lm": op10_lm, "op11_phrases": op11_phrases, "op12_chat": op12_chat, "op13_variants": op13_variants}
+
+CHECKS = {"op1_neardup": checks.OP1, "op5_topk": checks.OP5, "op8_lines": checks.OP8, "op9_jaccard": checks.OP9, "op11_phrases": checks.OP11, "op12_chat": checks.OP12, "op13_variants": checks.OP13}
