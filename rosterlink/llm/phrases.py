@@ -40,9 +40,9 @@ from ..store import settled
 from .words import mix, ragged, span_hashes, text_buffers
 
 #: Bytes of text in a shard, unless one text is longer.
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
 #: Bytes of text that a task holds of all languages before it closes the largest shard.
-HELD_BYTES = 48 << 20
+HELD_BYTES = 16 << 20
 #: Words of input for each range of keys.
 RANGE_WORDS = 1 << 19
 #: Bits of a key besides its range.
@@ -71,7 +71,7 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     before = np.concatenate([[False], word])
     here = np.append(word, False)
     starts, ends = np.flatnonzero(here & (edge | ~before)), np.flatnonzero(before & (edge | ~here))
-    breaks = np.concatenate([[0], np.cumsum(kind == 2)])[starts] + np.cumsum(edge)[starts]
+    breaks = np.searchsorted(np.flatnonzero(kind == 2), starts) + np.searchsorted(offsets, starts, "right")
     first = np.ones(len(starts), bool)
     first[1:] = breaks[1:] != breaks[:-1]
     return starts, ends, first
