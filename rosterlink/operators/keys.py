@@ -1,55 +1,19 @@
-"""Join keys that let similar names meet in equi-joins, without loss.
-
-Two families of keys bring names within a bounded indel distance together:
-
-* *deletion keys* - every text left after removing a few characters.  Two
-  texts share such a key exactly when they have a long enough common
-  subsequence, so the key also tells the score;
-* *segments* - one text is cut into one more part than there can be edits, so
-  one part survives in the other text near its old place (the pigeonhole
-  argument of Pass-Join, Li et al. 2011).  Used where deletion keys would be
-  too many: long texts and low cutoffs.
-
-Texts are *items*: ``prefix`` (tokens both sides must share, may be empty),
-``body`` (compared by indel distance) and ``total`` (length of prefix, joining
-space and body).  A pair passes at share ``t`` when the distance of the bodies
-is at most ``(1 - t) * (total_a + total_b)``.
-"""
+"""Tokens and substrings of names, and a join for hot keys."""
 
 from __future__ import annotations
 
-from math import floor
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 
 # Slack on computed bounds; the score itself always decides.
 SLACK = 1e-9
-# Most characters a shared deletion key may lack on either side.
-SHALLOW = 2
-# Longest item that gets deletion keys (1,954 of them at this length).
-LONGEST_LISTED = 62
-# Most tokens of a name whose token subsets are listed.
-SUBSET_TOKENS = 10
 # Longest name whose substrings are listed.
 SUBSTRING_LENGTH = 64
 # Slices a hot key is spread over.
 SALTS = 16
 
-# An item whose body is too short to be cut; meets on its prefix alone.
-_UNCUT = -1
-
-
-def _floor(value: Column) -> Column:
-    return F.floor(value + F.lit(SLACK)).cast("int")
-
-
-def _ceil(value: Column) -> Column:
-    return F.ceil(value - F.lit(SLACK)).cast("int")
-
-
 def _length(text: Column | str) -> Column:
     return F.char_length(text)
 
@@ -59,191 +23,9 @@ def _up_to(first: Column, last: Column) -> Column:
     return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
 
-# --- deletion keys -------------------------------------------------------------------
-
-
-def own_deletions(total: int, share: float) -> int:
-    """Most characters one item can lose on the way to a passing partner."""
-    return floor(2 * total * (1 - share) / (2 - share) + SLACK)
-
-
-def _pair_losses(total: int, partner: int, share: float) -> tuple[int, int]:
-    """Most characters either side can lack in a passing pair of these totals."""
-    edits = floor((1 - share) * (total + partner) + SLACK)
-    edits -= (edits - total - partner) % 2
-    return (edits + total - partner) // 2, (edits + partner - total) // 2
-
-
-def deep_limit(share: float) -> int:
-    """Greatest total up to which a side lacking more than ``SHALLOW`` faces a whole text.
-
-    Up to here one side loses at most ``SHALLOW + 1`` characters, and then the
-    other side is itself the key.
-    """
-    total = 0
-    while total < LONGEST_LISTED:
-        lost = own_deletions(total + 1, share)
-        both = (1 - share) * (2 * (total + 1) - SHALLOW) + SLACK >= SHALLOW + 2
-        if lost > SHALLOW + 1 or (lost > SHALLOW and both):
-            break
-        total += 1
-    return total
-
-
-def _gap_table(spark: SparkSession, longest: int, deep: bool) -> DataFrame:
-    """``(length, lost, gap1, gap2, gap3)``: all ways to delete characters, by text length.
-
-    A fixed table, whatever the data: about 41,000 rows, or 4,000 deep ones.
-    An unused gap lies behind the end of the text.
-    """
-    length = F.col("length")
-    table = spark.range(longest + 1).select(F.col("id").cast("int").alias("length"))
-    before = F.lit(0)
-    for i in range(1, SHALLOW + 2):
-        if deep:
-            table = table.withColumn(f"gap{i}", F.explode(_up_to(before + 1, length)))
-        elif i <= SHALLOW:
-            unused = F.greatest(before, length) + 1
-            gaps = F.concat(_up_to(before + 1, length), F.array(unused))
-            table = table.withColumn(f"gap{i}", F.explode(gaps))
-        else:
-            table = table.withColumn(f"gap{i}", F.greatest(before, length) + 1)
-        before = F.col(f"gap{i}")
-    gaps = [F.col(f"gap{i}") for i in range(1, SHALLOW + 2)]
-    return table.withColumn("lost", sum((gap <= length).cast("int") for gap in gaps))
-
-
-def deletion_keys(items: DataFrame, share: float, deep: bool = False) -> DataFrame:
-    """One row per item and way to delete characters: adds ``key`` and ``lost``.
-
-    Up to ``SHALLOW`` characters go, or with ``deep`` exactly one more, for
-    items up to ``deep_limit``.  The ways come from a broadcast table of fixed
-    size, so the keys are made by one join and one projection.
-    """
-    longest = deep_limit(share) if deep else LONGEST_LISTED
-    allowed = _floor(2 * F.col("total") * (1 - share) / (2 - share))
-    items = items.where(F.col("total") <= longest)
-    items = items.withColumn("length", _length("body")).withColumn("_allowed", allowed)
-    keyed = items.join(F.broadcast(_gap_table(items.sparkSession, longest, deep)), "length")
-    first, second, third = (F.col(f"gap{i}") for i in range(1, SHALLOW + 2))
-    key = F.concat(
-        F.substring("body", F.lit(1), first - 1),
-        F.substring("body", first + 1, second - first - 1),
-        F.substring("body", second + 1, third - second - 1),
-        F.substring("body", third + 1, F.col("length")),
-    )
-    keyed = keyed.where(F.col("lost") <= F.col("_allowed")).withColumn("key", key)
-    return keyed.drop("length", "_allowed", "gap1", "gap2", "gap3")
-
-
-# --- segments ------------------------------------------------------------------------
-
-
-def _edits(total: Column, share: float) -> Column:
-    """Most edits between an item and any partner it can pass with."""
-    return _floor(2 * total * (1 - share) / share)
-
-
-def _segment_bounds(size: Column, parts: Column, part: Column) -> tuple[Column, Column]:
-    """Start (from 0) and length of one of ``parts`` near-equal parts."""
-    base = F.floor(size / parts).cast("int")
-    plain = parts - size % parts
-    start = part * base + F.greatest(part - plain, F.lit(0))
-    return start, base + (part >= plain).cast("int")
-
-
-def segment_keys(items: DataFrame, share: float) -> DataFrame:
-    """The parts of each item: adds ``key_total``, ``part`` and ``key``."""
-    parts = _edits(F.col("total"), share) + 1
-    size = _length("body")
-    numbers = F.when(size < parts, F.array(F.lit(_UNCUT))).otherwise(F.sequence(F.lit(0), parts - 1))
-    items = items.withColumn("part", F.explode(numbers))
-    start, length = _segment_bounds(size, parts, F.col("part"))
-    text = F.when(F.col("part") == _UNCUT, F.lit("")).otherwise(F.substring("body", start + 1, length))
-    return items.withColumn("key", text).withColumn("key_total", F.col("total"))
-
-
-def segment_totals(share: float, deep: bool) -> tuple[int, int]:
-    """Smallest totals (own, partner) of a listed pair that deletion keys leave to segments."""
-    limit = deep_limit(share) if deep else 0
-    least = LONGEST_LISTED * share / (2 - share)
-    own = partner = floor(least)
-    for a in range(1, LONGEST_LISTED + 1):
-        for b in range(1, LONGEST_LISTED + 1):
-            lost = _pair_losses(a, b, share)
-            if min(lost) >= 0 and max(lost) > SHALLOW and max(a, b) > limit:
-                own, partner = min(own, a), min(partner, b)
-    return own, partner
-
-
-def segment_probes(items: DataFrame, share: float, deep: bool, everything: bool = False) -> DataFrame:
-    """Where the parts of a partner may stand in each item; same key columns.
-
-    Without ``everything`` only partners are sought that deletion keys do not
-    bring already.  Some part is met with exactly ``part`` edits before it,
-    which fixes how far it can have moved.
-    """
-    total, size = F.col("total"), _length("body")
-    partner = F.col("key_total")
-    items = items.withColumn(
-        "key_total",
-        F.explode(_up_to(_ceil(total * share / (2 - share)), _floor(total * (2 - share) / share))),
-    )
-    most = _floor((1 - share) * (total + partner))
-    edits = most - F.pmod(most - total - partner, F.lit(2))
-    items = items.where(edits >= F.abs(total - partner))
-    if not everything:
-        longer = F.greatest(total, partner)
-        unlisted = longer > LONGEST_LISTED
-        deeper = (edits + F.abs(total - partner)) / 2 > SHALLOW
-        items = items.where(unlisted | (deeper & (longer > (deep_limit(share) if deep else 0))))
-    partner_size = size + partner - total
-    parts = _edits(partner, share) + 1
-    items = items.where(partner_size >= 0)
-    numbers = F.when(partner_size < parts, F.array(F.lit(_UNCUT))).otherwise(
-        _up_to(F.lit(0), F.least(parts - 1, edits))
-    )
-    items = items.withColumn("part", F.explode(numbers))
-    part, drift = F.col("part"), total - partner
-    low = F.greatest(-part, drift - (edits - part))
-    high = F.least(part, drift + (edits - part))
-    moves = F.when(part == _UNCUT, F.array(F.lit(0))).otherwise(_up_to(low, high))
-    items = items.withColumn("_move", F.explode(moves)).where(
-        (part == _UNCUT) | ((F.col("_move") - part) % 2 == 0)
-    )
-    start, length = _segment_bounds(partner_size, parts, part)
-    at = start + F.col("_move")
-    items = items.where((part == _UNCUT) | ((at >= 0) & (at + length <= size)))
-    text = F.when(part == _UNCUT, F.lit("")).otherwise(F.substring("body", at + 1, length))
-    return items.withColumn("key", text).drop("_move")
-
-
-# --- parts of a window ----------------------------------------------------------------
-
-
-def window_parts(items: DataFrame, share: float) -> DataFrame:
-    """Parts of which one survives in any window that passes at ``share``: adds ``key``."""
-    size = _length("body")
-    parts = F.least(_floor(2 * size * (1 - share)) + 1, size)
-    items = items.where(size > 0).withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-    start, length = _segment_bounds(size, parts, F.col("_part"))
-    return items.withColumn("key", F.substring("body", start + 1, length)).drop("_part")
-
-
-def longest_part(share: float) -> int:
-    return floor(1 / (2 * (1 - share)) + SLACK) + 1 if share < 1 else SUBSTRING_LENGTH
-
-
 # --- tokens ---------------------------------------------------------------------------
 
 
-def _pick(words: Column, mask: Column, wanted: int) -> Column:
-    def chosen(_: Column, i: Column) -> Column:
-        return F.call_function("shiftright", mask, i).bitwiseAND(F.lit(1)) == wanted
-
-    return F.array_join(F.filter(words, chosen), " ")
-
-
 def with_tokens(names: DataFrame) -> DataFrame:
     """Adds ``size`` (length), sorted ``words``, distinct ``kinds`` and ``flat`` (kinds joined)."""
     return (
@@ -254,44 +36,6 @@ def with_tokens(names: DataFrame) -> DataFrame:
     )
 
 
-def token_items(names: DataFrame, share: float) -> DataFrame:
-    """Items for every split of a name's tokens into shared ``prefix`` and ``body``.
-
-    The empty prefix stands for the sorted tokens (with and without repeats).
-    A name with very many tokens yields only that one.
-    """
-    count = F.size("kinds")
-    last = F.when(
-        (count > 1) & (count <= SUBSET_TOKENS), F.pow(F.lit(2), count).cast("int") - 2
-    ).otherwise(F.lit(0))
-    items = names.withColumn("_mask", F.explode(F.sequence(F.lit(0), last)))
-    items = items.withColumn("prefix", _pick(F.col("kinds"), F.col("_mask"), 1))
-    sorted_words = F.array_join("words", " ")
-    bodies = F.when(
-        F.col("_mask") == 0, F.array_distinct(F.array(sorted_words, F.col("flat")))
-    ).otherwise(F.array(_pick(F.col("kinds"), F.col("_mask"), 0)))
-    items = items.withColumn("body", F.explode(bodies)).withColumn(
-        "total",
-        F.when(F.col("_mask") == 0, _length("body")).otherwise(_length("flat")),
-    )
-    useful = (F.col("_mask") == 0) | (_edits(F.col("total"), share) >= 1)
-    return items.where(useful).drop("words", "kinds", "flat", "_mask")
-
-
-def token_subsets(names: DataFrame) -> DataFrame:
-    """Every non-empty token subset ``key`` of a name and the name's own score against it."""
-    count = F.size("kinds")
-    names = names.where((count >= 1) & (count <= SUBSET_TOKENS))
-    full = F.pow(F.lit(2), count).cast("int") - 1
-    names = names.withColumn("_mask", F.explode(F.sequence(F.lit(1), full)))
-    names = names.withColumn("key", _pick(F.col("kinds"), F.col("_mask"), 1))
-    whole, part = _length("flat"), _length("key")
-    own = F.when(F.col("_mask") == full, F.lit(100.0)).otherwise(
-        F.lit(100.0) - F.lit(100.0) * (whole - part) / (part + whole)
-    )
-    return names.withColumn("own", own).drop("_mask")
-
-
 def substrings(names: DataFrame, shortest: Column, longest: Column, most: int) -> DataFrame:
     """Every substring ``key`` of ``name`` with a length in the given range.
 

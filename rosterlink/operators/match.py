@@ -7,16 +7,15 @@ own equi-join:
 reason      what the names share                       how they meet
 ==========  =========================================  ==========================
 equal       everything (100)                           hash join on the name
-spelling    a long common subsequence                  deletion keys of the name
-subset      one's tokens, or nearly, inside the other  token subsets
-tokens      some tokens equal, the others close        token subset + deletion key
+covered     one's tokens, or nearly, inside the other  two rarest tokens
 inside      the shorter stands inside the longer       substrings
+similar     most characters, in some order of tokens   two of the rarest grams
+window      the shorter is like part of the longer     rarest gram (below 90)
 ==========  =========================================  ==========================
 
-For all but *tokens* a key fixes the score up to the contact's length, so the
-contacts of a key shrink to the best one before the join: however many contacts
-share a key, a registrant meets one row.  *Tokens*, and texts too long for
-deletion keys (met by segments), give candidate pairs that are scored.
+The first three give a score by themselves. They run first, and the best of
+them bounds what is worth scoring: of the pairs that the other two bring, those
+whose upper bound is below it are dropped before they reach Python.
 
 The score is the best over the reasons, so the best contact is the best over
 their best contacts; equal scores go to the first contact.
@@ -31,15 +30,14 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..store import settled
+from . import grams as G
 from . import keys as K
 from .normalize import CONTACT_POS
 
 # Score of a pair whose shorter name stands inside a much longer one.
 INSIDE_SCORE = 100.0 * S.PARTIAL_WEIGHT
-# Lowest cutoff for which the five reasons are complete.
+# Lowest cutoff at which a window that is not the whole shorter name does not matter.
 FULL_REASONS_FROM = INSIDE_SCORE
-# Lowest cutoff at which parts of a text are sure to survive the edits.
-SEGMENTS_FROM = 200 / 3
 _ANY_LENGTH = 2**31 - 1
 _SCORED = ("name", "score", CONTACT_POS)
 
@@ -80,149 +78,39 @@ class _Sides:
     """Both sides' distinct names, with tokens, for one cutoff."""
 
     def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float):
-        self.wanted = K.with_tokens(_dealt(wanted))
-        self.contacts = K.with_tokens(_dealt(contacts))
+        self.wanted = settled(K.with_tokens(_dealt(wanted)))
+        self.contacts = settled(K.with_tokens(_dealt(contacts)))
         self.cutoff = cutoff
         self.share = cutoff / 100
-        self.token_share = cutoff / 100 / S.TOKEN_WEIGHT
 
     def candidates(self, wanted: DataFrame, contacts: DataFrame, by: list[str]) -> DataFrame:
         """Pairs of rows with equal keys; contact columns get ``contact_`` names."""
-        renamed = contacts.select(
-            *by,
-            F.col("name").alias("contact_name"),
-            CONTACT_POS,
-            *[F.col(c).alias("contact_" + c) for c in ("size", "total", "body") if c in contacts.columns],
-        )
+        renamed = contacts.select(*by, F.col("name").alias("contact_name"), CONTACT_POS)
         return wanted.join(renamed, by)
 
-    def scored_pairs(self, pairs: list[DataFrame]) -> DataFrame:
-        distinct = _union([p.select("name", "contact_name", CONTACT_POS) for p in pairs]).distinct()
-        score = S.weighted_ratio("name", "contact_name")
-        return distinct.withColumn("score", score).where(F.col("score") >= self.cutoff).select(*_SCORED)
-
-
-def _whole_items(names: DataFrame) -> DataFrame:
-    return names.select(
-        "*", F.lit("").alias("prefix"), F.col("name").alias("body"), F.col("size").alias("total")
-    )
-
-
-def _spelling_score(distance: Column, common: Column) -> Column:
-    return (1.0 - distance / (2 * common + distance)) * 100.0
-
-
-def _spelling(sides: _Sides) -> DataFrame:
-    """Plain ratio at or above the cutoff, where a deletion key lacks few characters."""
-    wanted = K.deletion_keys(_whole_items(sides.wanted.select("name", "size")), sides.share)
-    wanted = wanted.select("name", "key", "lost").where(F.char_length("key") > 0)
-    table = K.deletion_keys(_whole_items(sides.contacts.select("name", "size", CONTACT_POS)), sides.share)
-    # Same key, same text: the contact that lost least is the closest.
-    best = table.groupBy("key").agg(F.min(F.struct("lost", CONTACT_POS)).alias("_contact"))
-    score = _spelling_score(F.col("lost") + F.col("_contact.lost"), F.char_length("key"))
-    return (
-        wanted.join(best, "key")
-        .withColumn("score", score)
-        .where(F.col("score") >= sides.cutoff)
-        .select("name", "score", F.col(f"_contact.{CONTACT_POS}").alias(CONTACT_POS))
-    )
-
-
-def _deep_spelling(sides: _Sides) -> list[DataFrame]:
-    """Plain ratio, where one name is the other with one more character missing.
-
-    These keys are many but meet whole names only.
-    """
-    wanted = _whole_items(sides.wanted.select("name", "size"))
-    contacts = _whole_items(sides.contacts.select("name", "size", CONTACT_POS))
-    limit = K.deep_limit(sides.share)
-
-    whole_contacts = contacts.where(F.col("size") <= limit).select(F.col("name").alias("key"), CONTACT_POS)
-    from_wanted = K.deletion_keys(wanted, sides.share, deep=True).select("name", "key", "lost")
-    whole_wanted = wanted.where(F.col("size") <= limit).select(F.col("name").alias("key"))
-    from_contacts = K.deletion_keys(contacts, sides.share, deep=True).select("key", "lost", CONTACT_POS)
-    return [
-        found.withColumn("score", _spelling_score(F.col("lost"), F.char_length("key")))
-        .where(F.col("score") >= sides.cutoff)
-        .select(*_SCORED)
-        for found in (
-            from_wanted.join(whole_contacts, "key"),
-            from_contacts.join(whole_wanted, "key").withColumn("name", F.col("key")),
-        )
-    ]
-
-
-def _segment_pairs(
-    sides: _Sides, wanted: DataFrame, contacts: DataFrame, share: float, deep: bool, everything: bool
-) -> DataFrame:
-    """Pairs within the distance of ``share`` that deletion keys do not bring."""
-    own, partner = (0, 0) if everything else K.segment_totals(share, deep)
-    by = ["prefix", "key_total", "part", "key"]
-    probes = K.segment_probes(wanted.where(F.col("total") >= own), share, deep, everything)
-    table = K.segment_keys(contacts.where(F.col("total") >= partner), share)
-    # Substitutions count once here and twice in the indel distance, so this loses no pair.
-    edits = (1 - share) * (F.col("total") + F.col("contact_total")) + K.SLACK
-    close = F.expr("levenshtein(body, contact_body, cast(_edits AS int))") >= 0
-    return sides.candidates(probes, table, by).withColumn("_edits", F.floor(edits)).where(close).drop("_edits")
+    def decided(self, found: list[DataFrame], pairs: list[DataFrame]) -> DataFrame:
+        """Best contact per name of those ``found`` with a score and of the ``pairs`` to be scored."""
+        known = settled(_best(_union(found))) if found else None
+        scored = worth_scoring(_union(pairs), known).withColumn("score", S.weighted_ratio("name", "contact_name"))
+        scored = scored.where(F.col("score") >= self.cutoff).select(*_SCORED)
+        return _best(scored if known is None else scored.unionByName(known.select(*_SCORED)))
 
 
-def _long_spelling(sides: _Sides, everything: bool = False) -> DataFrame:
-    wanted = _whole_items(sides.wanted.select("name", "size"))
-    contacts = _whole_items(sides.contacts.select("name", "size", CONTACT_POS))
-    return _segment_pairs(sides, wanted, contacts, sides.share, True, everything)
+def worth_scoring(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Distinct pairs whose upper bound ``most`` reaches the score that their name has already."""
+    distinct = pairs.groupBy("name", "contact_name", CONTACT_POS).agg(F.max("most").alias("most"))
+    if known is None:
+        return distinct
+    reached = known.select("name", F.col("score").alias("_reached"))
+    return distinct.join(reached, "name", "left").where(
+        F.col("_reached").isNull() | (F.col("most") >= F.col("_reached") - K.SLACK)).drop("_reached")
 
 
-def _token_pairs(sides: _Sides) -> DataFrame:
-    """Pairs sharing some tokens, whose other tokens are close (deletion keys)."""
-    share = sides.token_share
-    wanted = K.deletion_keys(K.token_items(sides.wanted, share), share)
-    contacts = K.deletion_keys(K.token_items(sides.contacts, share), share)
-    return sides.candidates(wanted, contacts, ["prefix", "key"]).where(_near())
-
-
-def _long_token_pairs(sides: _Sides, everything: bool = False) -> DataFrame:
-    share = sides.token_share
-    wanted, contacts = K.token_items(sides.wanted, share), K.token_items(sides.contacts, share)
-    return _segment_pairs(sides, wanted, contacts, share, False, everything).where(_near())
-
-
-def _many_token_pairs(sides: _Sides) -> DataFrame:
-    """Pairs sharing a token of which one has too many tokens to list subsets."""
-    def words(names: DataFrame) -> DataFrame:
-        return names.withColumn("many", F.size("kinds") > K.SUBSET_TOKENS).withColumn("key", F.explode("kinds"))
-
-    wanted = words(sides.wanted).select("name", "size", "many", "key")
-    contacts = words(sides.contacts).select(
-        "key", F.col("name").alias("contact_name"), CONTACT_POS,
-        F.col("size").alias("contact_size"), F.col("many").alias("contact_many"),
-    )
-    long_left = wanted.where("many").join(contacts, "key")
-    long_right = wanted.where(~F.col("many")).join(contacts.where("contact_many"), "key")
-    return long_left.unionByName(long_right).where(_near())
-
-
-def _subset(sides: _Sides) -> DataFrame:
+def _covered(sides: _Sides) -> DataFrame:
     """One side's tokens, or all but very short ones, all present on the other side."""
-    floor_own = sides.cutoff / S.TOKEN_WEIGHT - 1e-6
-    score = S.TOKEN_WEIGHT * F.col("own")
-    wanted = K.token_subsets(sides.wanted).select("name", "size", "key", "own")
-    table = K.token_subsets(sides.contacts).select(
-        "key", F.col("size").alias("contact_size"), F.col("own").alias("contact_own"), CONTACT_POS
-    )
-    first = F.min(CONTACT_POS).alias(CONTACT_POS)
-
-    strong_wanted = wanted.where(F.col("own") >= floor_own)
-    any_contact = table.groupBy("key", "contact_size").agg(first)
-    by_wanted = strong_wanted.join(any_contact, "key").withColumn("score", score)
-
-    strong_contact = table.where(F.col("contact_own") >= floor_own)
-    strong_contact = strong_contact.groupBy("key", "contact_size", "contact_own").agg(first)
-    by_contact = K.lookup(wanted, strong_contact, "key", F.col("name")).withColumn(
-        "score", S.TOKEN_WEIGHT * F.col("contact_own")
-    )
-    columns = ["name", "size", "contact_size", "score", CONTACT_POS]
-    found = by_wanted.select(*columns).unionByName(by_contact.select(*columns))
-    return found.where(_near() & (F.col("score") >= sides.cutoff)).select(*_SCORED)
+    found = G.covered_pairs(sides.wanted, sides.contacts, sides.cutoff / S.TOKEN_WEIGHT)
+    scored = found.withColumn("score", S.TOKEN_WEIGHT * F.col("own"))
+    return scored.where(_near() & (F.col("score") >= sides.cutoff)).select(*_SCORED)
 
 
 def _inside(sides: _Sides) -> DataFrame:
@@ -276,18 +164,14 @@ def _inside(sides: _Sides) -> DataFrame:
 
 
 def _strict_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float) -> DataFrame:
-    """Scored matches at a cutoff of at least 90."""
+    """Best matches at a cutoff of at least 90."""
     sides = _Sides(wanted, contacts, cutoff)
-    scored = [_spelling(sides), *_deep_spelling(sides)]
-    pairs = [_long_spelling(sides)]
+    found = []
     if cutoff <= 100 * S.TOKEN_WEIGHT:
-        scored.append(_subset(sides))
-        pairs.append(_token_pairs(sides))
-        pairs.append(_long_token_pairs(sides))
-        pairs.append(_many_token_pairs(sides))
+        found.append(_covered(sides))
     if cutoff <= INSIDE_SCORE:
-        scored.append(_inside(sides))
-    return _union([*scored, sides.scored_pairs(pairs)])
+        found.append(_inside(sides))
+    return sides.decided(found, [G.similar_pairs(sides.wanted, sides.contacts, sides.share)])
 
 
 # --- cutoffs below 90 ------------------------------------------------------------------
@@ -305,32 +189,6 @@ def _shared_token(sides: _Sides) -> DataFrame:
     return found.withColumn("score", 100.0 * weight).where(F.col("score") >= sides.cutoff).select(*_SCORED)
 
 
-def _window_pairs(sides: _Sides) -> DataFrame:
-    """The shorter text is close to some window of the longer one, as it stands or sorted."""
-    def forms(names: DataFrame) -> DataFrame:
-        keep = [c for c in ("name", "size", CONTACT_POS) if c in names.columns]
-        texts = F.array_distinct(F.array("name", F.array_join("words", " "), "flat"))
-        return names.select(*keep, F.explode(texts).alias("body"))
-
-    share = min(sides.share / S.PARTIAL_WEIGHT, 1.0)
-    longest = K.longest_part(share)
-
-    def windows(items: DataFrame) -> DataFrame:
-        text = items.select(*[F.col(c).alias("owner") if c == "name" else c for c in items.columns])
-        text = text.withColumnRenamed("body", "name")
-        high = F.least(F.lit(longest), F.char_length("name")).cast("int")
-        cut = K.substrings(text, F.lit(1), high, _ANY_LENGTH).drop("name").distinct()
-        return cut.withColumnRenamed("owner", "name")
-
-    wanted, contacts = forms(sides.wanted), forms(sides.contacts)
-    inside_wanted = sides.candidates(windows(wanted), K.window_parts(contacts, share), ["key"])
-    inside_contact = sides.candidates(K.window_parts(wanted, share), windows(contacts), ["key"])
-    columns = ["name", "size", "contact_name", "contact_size", CONTACT_POS]
-    pairs = inside_wanted.select(*columns).unionByName(inside_contact.select(*columns))
-    spread = _spread()
-    return pairs.where((spread >= S.PARTIAL_FROM) & (spread <= S.FAR_FROM)).distinct()
-
-
 def _shared_character_pairs(sides: _Sides) -> DataFrame:
     """Any positive score needs a character in common (or two texts without tokens)."""
     def characters(names: DataFrame) -> DataFrame:
@@ -338,21 +196,20 @@ def _shared_character_pairs(sides: _Sides) -> DataFrame:
         kept = F.when(F.size("kinds") == 0, F.array_append(kept, F.lit("blank"))).otherwise(kept)
         return names.withColumn("key", F.explode(F.filter(kept, lambda ch: ch != ""))).drop("words", "kinds", "flat")
 
-    return sides.candidates(characters(sides.wanted), characters(sides.contacts), ["key"])
+    pairs = sides.candidates(characters(sides.wanted), characters(sides.contacts), ["key"])
+    return pairs.withColumn("most", F.lit(100.0))
 
 
 def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float) -> DataFrame:
-    """Scored matches below 90, for the names that found nothing better."""
+    """Best matches below 90, for the names that found nothing better."""
     sides = _Sides(wanted, contacts, cutoff)
-    if cutoff <= SEGMENTS_FROM:
-        return sides.scored_pairs([_shared_character_pairs(sides)])
-    pairs = [
-        _long_spelling(sides, everything=True),
-        _long_token_pairs(sides, everything=True),
-        _many_token_pairs(sides),
-        _window_pairs(sides),
-    ]
-    return _union([_subset(sides), _shared_token(sides), sides.scored_pairs(pairs)])
+    if sides.share <= G.LOWEST_SHARE:
+        return sides.decided([], [_shared_character_pairs(sides)])
+    spread = _spread()
+    far = (spread >= S.PARTIAL_FROM) & (spread <= S.FAR_FROM)
+    windows = G.window_pairs(sides.wanted, sides.contacts, min(sides.share / S.PARTIAL_WEIGHT, 1.0), far, S.PARTIAL_WEIGHT)
+    similar = G.similar_pairs(sides.wanted, sides.contacts, sides.share)
+    return sides.decided([_covered(sides), _shared_token(sides)], [similar, windows])
 
 
 # --- operator --------------------------------------------------------------------------
@@ -377,14 +234,14 @@ def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: flo
     first = settled(wanted.join(known, "name", "left"))
     equal = first.where(F.col(CONTACT_POS).isNotNull()).select("name", score, CONTACT_POS, F.col("name").alias("matched"))
     rest = first.where(F.col(CONTACT_POS).isNull()).select("name")
-    strict = _best(_strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM)))
+    strict = _strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM))
     # The name comes from the same settled table as the position.
     named = known.select(CONTACT_POS, F.col("name").alias("matched"))
     if cutoff >= FULL_REASONS_FROM:
         return equal.unionByName(strict.join(named, CONTACT_POS))
     strict = settled(strict)
     rest = settled(rest.join(strict, "name", "left_anti"))
-    loose = _best(_loose_matches(rest, known, max(cutoff, K.SLACK)))
+    loose = _loose_matches(rest, known, max(cutoff, K.SLACK))
     return equal.unionByName(strict.unionByName(loose).join(named, CONTACT_POS))
 
 
