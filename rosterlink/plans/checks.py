@@ -198,12 +198,21 @@ _WEIGHTED = f"""CASE WHEN spread < 1.5 THEN {_NEAR_SCORE}
 # --- match -----------------------------------------------------------------------------
 
 
+_NAMES = """
+r AS (SELECT DISTINCT "Name" AS a FROM registrants WHERE "Name" <> ''),
+c AS (SELECT "Name" AS b, min(contact_pos) AS pos FROM contacts WHERE "Name" <> '' GROUP BY "Name")"""
+
+_TOP = """
+top AS (SELECT a, b, score, pos FROM best JOIN c USING (b) WHERE score >= {cutoff}
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, pos) = 1),
+matched AS (SELECT r0."Name" AS "Name registrant", top.b AS "Name fuzzy matched", score AS "Score", pos AS "Index"
+  FROM registrants r0 LEFT JOIN top ON top.a = r0."Name")"""
+
+
 def _match(cutoff: float) -> str:
     """CTEs up to ``matched``; every pair that can score 90 or more is a candidate."""
     plain_a, plain_b = "strip_accents(a)", "strip_accents(b)"
-    return f"""WITH {PEOPLE},
-r AS (SELECT DISTINCT "Name" AS a FROM registrants WHERE "Name" <> ''),
-c AS (SELECT "Name" AS b, min(contact_pos) AS pos FROM contacts WHERE "Name" <> '' GROUP BY "Name"),
+    return f"""WITH {PEOPLE},{_NAMES},
 rw AS (SELECT a, strip_accents(array_to_string({_WORDS.format("a")}, ' ')) AS ta FROM r),
 cw AS (SELECT b, strip_accents(array_to_string({_WORDS.format("b")}, ' ')) AS tb FROM c),
 rt AS (SELECT a, unnest({_WORDS.format("a")}) AS word FROM r),
@@ -217,15 +226,37 @@ candidates AS (
 best AS (
   SELECT a, b, CASE WHEN spread < 1.5 THEN {_NEAR_SCORE}
     WHEN spread <= 8 AND (contains(a, b) OR contains(b, a)) THEN greatest(plain, 90.0) ELSE plain END AS score
-  FROM scored),
-top AS (SELECT a, b, score, pos FROM best JOIN c USING (b) WHERE score >= {cutoff}
-  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, pos) = 1),
-matched AS (SELECT r0."Name" AS "Name registrant", top.b AS "Name fuzzy matched", score AS "Score", pos AS "Index"
-  FROM registrants r0 LEFT JOIN top ON top.a = r0."Name")"""
+  FROM scored),{_TOP.format(cutoff=cutoff)}"""
+
+
+def _loose_match(cutoff: float) -> str:
+    """The same for lower cutoffs: all pairs, but for those with too few characters in common, whatever their order, and no token."""
+    counts = "list_transform(chars, lambda x: length({0}) - length(replace({0}, x, '')))"
+    share, shortest = cutoff / 100, "least(length(a), length(b))"
+    return f"""WITH {PEOPLE},{_NAMES},
+letters AS (SELECT list(DISTINCT ch) AS chars FROM (
+  SELECT unnest(string_split(a, '')) AS ch FROM r UNION ALL SELECT unnest(string_split(b, '')) FROM c)),
+rc AS (SELECT a, {counts.format("a")} AS na, {_WORDS.format("a")} AS wa FROM r, letters),
+cc AS (SELECT b, {counts.format("b")} AS nb, {_WORDS.format("b")} AS wb FROM c, letters),
+crossed AS (
+  SELECT a, b, wa, wb, list_sum(list_transform(list_zip(na, nb), lambda z: least(z[1], z[2]))) AS common FROM rc, cc),
+candidates AS (
+  SELECT a, b FROM crossed WHERE len(list_filter(wa, lambda x: list_contains(wb, x))) > 0
+    OR common >= {share} * CASE WHEN greatest(length(a), length(b)) < 1.5 * {shortest} THEN (length(a) + length(b)) / 2.0
+      ELSE {shortest} END - 1e-6),
+{TOKEN_SCORES},
+far AS (SELECT * FROM forms WHERE spread >= 1.5 AND spread <= 8), {_partial("far", "a", "b", "inside")},
+{_partial("far", "sa", "sb", "tokens_inside")},
+best AS (
+  SELECT s.a, s.b, CASE WHEN spread < 1.5 THEN {_NEAR_SCORE}
+    ELSE greatest(plain, 0.9 * coalesce(i.score, 0), 0.855 * CASE WHEN n_shared > 0 THEN 100.0 ELSE coalesce(t.score, 0) END)
+    END AS score
+  FROM scored s LEFT JOIN inside i ON i.x = s.a AND i.y = s.b LEFT JOIN tokens_inside t ON t.x = s.sa AND t.y = s.sb
+  WHERE spread <= 8),{_TOP.format(cutoff=cutoff)}"""
 
 
 def _match_check(cutoff: float) -> str:
-    return f"""{_match(cutoff)}
+    return f"""{_match(cutoff) if cutoff >= 90 else _loose_match(cutoff)}
 SELECT "Name registrant", "Name fuzzy matched", {_ROUND.format('"Score"')} AS "Score", "Index" FROM matched"""
 
 
@@ -302,6 +333,7 @@ CHECKS: dict[str, str] = {
     "fuzzy_match_exact": _match_check(100.0),
     "fuzzy_match_95": _match_check(95.0),
     "fuzzy_match_90": _match_check(90.0),
+    "fuzzy_match_80": _match_check(80.0),
     "enrich_by_name": f"{_audience()} SELECT * FROM audience",
     "enrich_by_position": f"""{_audience('k.contact_pos = m."Index"')} SELECT * FROM audience""",
     "enrich_classified": f"{_classified()} SELECT * FROM classified",
