@@ -2,7 +2,9 @@
 
 The scores run as Arrow pandas UDFs; each batch is scored with NumPy over all
 pairs at once.  The building block is the length of the longest common
-subsequence (LCS), found with the bit-parallel recurrence of Hyyrö (2004).
+subsequence (LCS), found with the bit-parallel recurrence of Hyyrö (2004); for
+the partial ratios, with all windows of a pair at once, by semi-local combing
+(Tiskin 2008).
 """
 
 from __future__ import annotations
@@ -82,6 +84,59 @@ def _lcs_words(patterns: list[str], texts: list[str]) -> np.ndarray:
     return _WORD - np.bitwise_count(row).astype(np.int64)
 
 
+def _combed(needles: np.ndarray, hays: np.ndarray) -> np.ndarray:
+    """Where the strand that leaves each hay column at the bottom has come in, for padded rows of codes.
+
+    Strands run through the grid of needle and hay characters; two that meet
+    cross where the characters are equal or they have crossed before. Then the
+    LCS of the needle and ``hay[i:j]`` is ``j - i`` less the strands that leave
+    before ``j`` and came in from above at ``i`` or later. Cells of one
+    anti-diagonal do not depend on each other.
+    """
+    n, m = needles.shape[1], hays.shape[1]
+    backwards = needles[:, ::-1]
+    across = np.repeat(np.arange(n, dtype=np.int32)[None], len(needles), 0)
+    down = np.repeat(np.arange(n, n + m, dtype=np.int32)[None], len(needles), 0)
+    for d in range(n + m - 1):
+        first, last = min(d, n - 1), max(0, d - m + 1)
+        rows, columns = slice(n - 1 - first, n - last), slice(d - first, d - last + 1)
+        h, v = across[:, rows], down[:, columns]
+        turn = (backwards[:, rows] == hays[:, columns]) | (h > v)
+        across[:, rows], down[:, columns] = np.where(turn, v, h), np.where(turn, h, v)
+    return down - n
+
+
+# Cells of text, or pairs of columns, held at once.
+_CELLS = 1 << 22
+
+
+def _best_windows(needles: Sequence[str], hays: Sequence[str]) -> np.ndarray:
+    """Best ratio of each needle to a window of its hay that is as long, or shorter at either end."""
+    out = np.zeros(len(needles))
+    order = sorted(range(len(needles)), key=lambda i: (len(hays[i]), len(needles[i])))
+    start = 0
+    while start < len(order):
+        # Similar lengths together, so that little padding is combed.
+        most = max(1, _CELLS // len(hays[order[start]]) ** 2)
+        rows = order[start: start + min(most, 4096)]
+        start += len(rows)
+        n, m = _lengths([needles[i] for i in rows]), _lengths([hays[i] for i in rows])
+        entered = _combed(_codes([needles[i] for i in rows], int(n.max()), 0xFFFFFFFF),
+                          _codes([hays[i] for i in rows], int(m.max()), 0xFFFFFFFE))
+        best = np.zeros(len(rows))
+        for end in range(1, int(m.max()) + 1):
+            begin = np.maximum(end - n, 0)
+            common = end - begin - (entered[:, :end] >= begin[:, None]).sum(1)
+            best = np.maximum(best, np.where(end <= m, _similarity(common, n, end - begin), 0.0))
+        for size in range(1, int(n.max())):
+            begin = np.maximum(m - size, 0)
+            inside = np.arange(entered.shape[1]) < m[:, None]
+            common = size - ((entered >= begin[:, None]) & inside).sum(1)
+            best = np.maximum(best, np.where(size < n, _similarity(common, n, np.full(len(rows), size)), 0.0))
+        out[rows] = best
+    return out
+
+
 def _lengths(texts: Sequence[str]) -> np.ndarray:
     return np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
 
@@ -148,26 +203,21 @@ def partial_scores(left: Sequence[str], right: Sequence[str]) -> np.ndarray:
     """
     out = np.zeros(len(left))
     needles: list[str] = []
-    windows: list[str] = []
+    hays: list[str] = []
     owners: list[int] = []
     for i, (a, b) in enumerate(zip(left, right)):
         short, long = (a, b) if len(a) <= len(b) else (b, a)
         if not short:
             out[i] = 0.0 if long else 100.0
-            continue
-        if short in long:
+        elif short in long:
             out[i] = 100.0
-            continue
-        for needle, text in ((short, long),) if len(a) != len(b) else ((a, b), (b, a)):
-            size = len(needle)
-            cuts = [text[max(0, end - size) : end] for end in range(1, len(text) + 1)]
-            cuts += [text[start:] for start in range(len(text) - size + 1, len(text))]
-            cuts = list(dict.fromkeys(cuts))
-            windows += cuts
-            needles += [needle] * len(cuts)
-            owners += [i] * len(cuts)
+        else:
+            for needle, hay in ((short, long),) if len(a) != len(b) else ((a, b), (b, a)):
+                needles.append(needle)
+                hays.append(hay)
+                owners.append(i)
     if owners:
-        np.maximum.at(out, owners, ratio_scores(needles, windows))
+        np.maximum.at(out, owners, _best_windows(needles, hays))
     return out
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,15 @@ def as_column(value: Column | str) -> Column:
     return F.col(f"`{value}`") if isinstance(value, str) else value
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` and its lambdas name it."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def characters(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda ch: ch != "")
+
+
 def strip(value: Column | str) -> Column:
     """Drop Unicode whitespace on both ends."""
     return F.btrim(as_column(value), F.lit(WHITESPACE))

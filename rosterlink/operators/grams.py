@@ -27,7 +27,7 @@ from math import floor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WHITESPACE_CLASS
+from ..functions.text import WHITESPACE_CLASS, characters, let
 
 # Slack on computed bounds; the score itself always decides.
 SLACK = 1e-9
@@ -72,10 +72,14 @@ class Order:
 
     def numbered(self, parts: Column) -> Column:
         """``parts`` rarest first, the repeats of each numbered."""
-        alike = F.sort_array(parts)
-        named = F.transform(alike, lambda p, i: F.concat(
-            self.ranked(p), F.lit("#"), (i + 1 - F.array_position(alike, p)).cast("string")))
-        return F.sort_array(named)
+        return let(F.sort_array(parts), lambda alike: F.sort_array(F.transform(alike, lambda p, i: F.concat(
+            self.ranked(p), F.lit("#"), (i + 1 - F.array_position(alike, p)).cast("string")))))
+
+
+def each_two(parts: Column) -> Column:
+    """A key for every two of ``parts``."""
+    return let(parts, lambda ps: F.flatten(F.transform(ps, lambda p, i: F.transform(
+        F.slice(ps, i + 2, F.size(ps)), lambda q: F.xxhash64(p, q)))))
 
 
 def neighbours(text: Column, count: Column) -> Column:
@@ -92,15 +96,11 @@ def inner_grams(text: Column) -> Column:
     return neighbours(text, F.char_length(text) - 1)
 
 
-def characters(text: Column) -> Column:
-    return F.filter(F.split(text, ""), lambda ch: ch != "")
-
-
 def bag(text: Column) -> Column:
     """The character bag: bits for the first and the second character of each kind."""
     kinds = F.sort_array(F.transform(characters(text), lambda ch: F.pmod(F.xxhash64(ch), F.lit(_BAG_KINDS)).cast("int")))
-    bits = F.transform(kinds, lambda k, i: 2 * k + F.least(i + 1 - F.array_position(kinds, k).cast("int"), F.lit(1)))
     # A kind's first character has bit 2k, all later ones 2k + 1.
+    bits = let(kinds, lambda ks: F.transform(ks, lambda k, i: 2 * k + F.least(i + 1 - F.array_position(ks, k).cast("int"), F.lit(1))))
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda word, b: word.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), b)))
 
 
@@ -150,9 +150,7 @@ def similar_keys(names: DataFrame, share: float, order: Order) -> DataFrame:
     least, most = F.ceil(n * share / (2 - share) - SLACK), F.floor(n * (2 - share) / share + SLACK)
     single = F.when(own & (least >= short) & (most <= long), F.array().cast("array<bigint>")).otherwise(
         F.transform(F.slice(F.col("_first"), F.lit(1), lost + 1), lambda g: F.xxhash64(g)))
-    first = F.slice(F.col("_first"), F.lit(1), lost + 2)
-    double = F.when(own, F.flatten(F.transform(first, lambda g, i: F.transform(
-        F.slice(first, i + 2, F.size(first)), lambda h: F.xxhash64(g, h))))).otherwise(F.array().cast("array<bigint>"))
+    double = F.when(own, each_two(F.slice(F.col("_first"), F.lit(1), lost + 2))).otherwise(F.array().cast("array<bigint>"))
     keys = F.concat(F.transform(single, lambda k: F.struct(F.lit(1).alias("level"), k.alias("key"))),
                     F.transform(double, lambda k: F.struct(F.lit(2).alias("level"), k.alias("key"))))
     listed = listed.withColumn("own_level", F.when(own, 2).otherwise(1)).withColumn("_key", F.explode(keys))
@@ -246,8 +244,7 @@ def _all_tokens(names: DataFrame) -> DataFrame:
     few = F.size(kinds) <= MOST_TOKENS
     one = F.transform(kinds, lambda t: F.xxhash64(F.lit("one"), t))
     many = F.transform(kinds, lambda t: F.xxhash64(F.lit("many"), t))
-    two = F.flatten(F.transform(kinds, lambda t, i: F.transform(F.slice(kinds, i + 2, F.size(kinds)), lambda u: F.xxhash64(t, u))))
-    return names.withColumn("key", F.explode(F.when(few, F.concat(one, two)).otherwise(F.concat(one, many))))
+    return names.withColumn("key", F.explode(F.when(few, F.concat(one, each_two(kinds))).otherwise(F.concat(one, many))))
 
 
 def _rare_tokens(names: DataFrame, budget: Column, order: Order) -> DataFrame:
@@ -256,18 +253,16 @@ def _rare_tokens(names: DataFrame, budget: Column, order: Order) -> DataFrame:
     cost = lambda t: F.char_length(t) - 3  # noqa: E731  a blank instead of the rank
     total = lambda ts: F.aggregate(ts, F.lit(0), lambda s, t: s + cost(t))
     greatest = lambda ts: F.aggregate(ts, F.lit(0), lambda s, t: F.greatest(s, cost(t)))
-    names = names.withColumn("_ranked", ranked)
-    tokens = F.col("_ranked")
     plain = lambda t: F.substring(t, F.lit(5), F.char_length(t))
-    first = F.filter(tokens, lambda t, i: total(F.slice(tokens, F.lit(1), i)) <= budget)
-    pairs = F.filter(tokens, lambda t, i: total(F.slice(tokens, F.lit(1), i)) - greatest(F.slice(tokens, F.lit(1), i)) <= budget)
+    before = lambda ts, i: F.slice(ts, F.lit(1), i)
+    first = let(ranked, lambda ts: F.filter(ts, lambda t, i: total(before(ts, i)) <= budget))
+    pairs = let(ranked, lambda ts: F.filter(ts, lambda t, i: total(before(ts, i)) - greatest(before(ts, i)) <= budget))
+    paired = let(ranked, lambda ts: (F.size(ts) <= MOST_TOKENS) & (total(ts) - greatest(ts) > budget))
     # The tokens of a key stand in the order of the other side's keys.
-    pairs = F.sort_array(F.transform(pairs, plain))
-    two = F.flatten(F.transform(pairs, lambda t, i: F.transform(F.slice(pairs, i + 2, F.size(pairs)), lambda u: F.xxhash64(t, u))))
-    paired = (F.size(tokens) <= MOST_TOKENS) & (total(tokens) - greatest(tokens) > budget)
+    two = each_two(F.sort_array(F.transform(pairs, plain)))
     one = F.transform(first, lambda t: F.xxhash64(F.lit("one"), plain(t)))
     many = F.transform(first, lambda t: F.xxhash64(F.lit("many"), plain(t)))
-    return names.withColumn("key", F.explode(F.when(paired, F.concat(two, many)).otherwise(one))).drop("_ranked")
+    return names.withColumn("key", F.explode(F.when(paired, F.concat(two, many)).otherwise(one)))
 
 
 def covered_pairs(wanted: DataFrame, contacts: DataFrame, own: float) -> DataFrame:
