@@ -1,6 +1,7 @@
 """Record linkage for event registrants on Spark DataFrames."""
 
 from .functions.rules import classify_by_rules, classify_company, classify_position, column_classifier
+from .operators.classify import classify_by_catalogue
 from .operators.enrich import (
     enrich_audience,
     filter_audience,
@@ -19,6 +20,7 @@ from .sources.files import load_congress_list, load_linkedin_connections, load_r
 
 __all__ = [
     "build_contacts",
+    "classify_by_catalogue",
     "classify_by_rules",
     "classify_company",
     "classify_position",

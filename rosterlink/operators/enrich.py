@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import apply_classifier
 from ..functions.text import strip
 from ..store import settled
+from .classify import with_category
 from .match import fuzzy_match
 from .normalize import CONTACT_POS, quoted
 
@@ -57,7 +57,7 @@ def add_categories(
     ):
         if classifier is not None and source in audience.columns:
             text = F.coalesce(quoted(source), F.lit("" if null_text is None else null_text))
-            audience = audience.withColumn(name, apply_classifier(classifier, text))
+            audience = with_category(audience, name, text, classifier)
     return audience
 
 

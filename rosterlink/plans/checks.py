@@ -339,6 +339,7 @@ CHECKS: dict[str, str] = {
     "enrich_classified": f"{_classified()} SELECT * FROM classified",
     "classify_position": f'WITH {PEOPLE} SELECT source_row, "Position", {_position(chr(34) + "Position" + chr(34))} AS category FROM connections_raw',
     "classify_company": f'WITH {PEOPLE} SELECT source_row, "Company", {_company(chr(34) + "Company" + chr(34))} AS category FROM connections_raw',
+    "classify_company_joined": f'WITH {PEOPLE} SELECT source_row, "Company", {_company(chr(34) + "Company" + chr(34))} AS category FROM connections_raw',
     "match_counts": f"""{_audience()}, n AS (SELECT (SELECT count(*) FROM registrants) AS r, (SELECT count(*) FROM audience) AS m)
 SELECT r AS n_registered, m AS n_matched, r - m AS n_unmatched,
   CASE WHEN r > 0 THEN round(100.0 * m / r, 2) ELSE 0 END::DOUBLE AS pct_matched,

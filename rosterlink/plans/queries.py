@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import catalogue, rules
 from ..functions import similarity as S
 from ..functions.text import person_name, strip
 from ..operators import enrich as E
 from ..operators import normalize as N
+from ..operators.classify import classify_by_catalogue
 from ..operators.match import fuzzy_match
 from . import people
 
@@ -98,6 +99,15 @@ def _classify(column: str, classifier: Callable[[str], Column]) -> Query:
     return query
 
 
+def _classify_company_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The company classifier with its catalogue as a table that is joined."""
+    raw = people.connections_raw(spark, sf_dir).select("source_row", "Company")
+    known = [(i, category, name) for i, (category, names) in enumerate(catalogue.KNOWN_COMPANIES) for name in names]
+    table = spark.createDataFrame(known, "priority int, category string, name string")
+    return classify_by_catalogue(raw, "Company", table, patterns=rules.word_patterns(catalogue.COMPANY_WORDS),
+                                 default=catalogue.COMPANY_DEFAULT, name="category")
+
+
 def _match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.match_counts(registrants(spark, sf_dir), _audience(spark, sf_dir, classified=False))
 
@@ -130,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "enrich_classified": _audience,
     "classify_position": _classify("Position", rules.classify_position),
     "classify_company": _classify("Company", rules.classify_company),
+    "classify_company_joined": _classify_company_joined,
     "match_counts": _match_counts,
     "unmatched_names": _unmatched_names,
     "filter_none": _filter_query(None, None),
