@@ -45,8 +45,8 @@ SHARD_BYTES = 6 << 20
 HELD_BYTES = 16 << 20
 #: Words of input for each range of keys.
 RANGE_WORDS = 1 << 19
-#: Bits of a key besides its range.
-_KEY_BITS = 32
+#: Bits of a key besides its range: some million strangers meet in sixteen million places.
+_KEY_BITS = 24
 
 _U = np.uint64
 _SPACES, _BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -88,27 +88,44 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zlib.compress(values.tobytes(), 1)
+    """Numbers of 32 bits, all their lowest bytes first."""
+    return zlib.compress(np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
 
 
-def _unpacked(blob: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(blob), kind)
+def _unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
-SHARDS = "shard bigint, lang string, n_words bigint, words binary, ends binary, numbers binary"
-_SHARDS = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.binary()), ("ends", pa.binary()), ("numbers", pa.binary())])
+def _key_bytes(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]).tobytes()
+
+
+def _keys_of(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // 3, 4), np.uint8)
+    wide[:, :3] = np.frombuffer(blob, np.uint8).reshape(-1, 3)
+    return wide.view("<u4").ravel()
+
+
+SHARDS = "shard bigint, lang string, n_words bigint, words binary, lengths binary, numbers binary"
+_SHARDS = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.binary()), ("lengths", pa.binary()), ("numbers", pa.binary())])
 
 
 def _shard(texts: list[pa.Array]) -> tuple[int, bytes, bytes, bytes]:
-    """Number of words; the distinct words, where each ends, and the word numbers with -1 before each piece."""
+    """Number of words; the distinct words, the length of each, and the word numbers with -1 before each piece."""
     data, offsets = text_buffers(pa.chunked_array(texts, pa.large_string()))
     data = _LOWER[data]
     starts, ends, first = _words(data, offsets)
-    _, at, numbers = np.unique(_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    _, at, numbers, times = np.unique(_hashes(data, starts, ends), return_index=True, return_inverse=True, return_counts=True)
+    # Frequent words get small numbers, which pack well.
+    order = np.argsort(-times, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    at, numbers = at[order], place[numbers]
     lengths = ends[at] - starts[at]
     words = data[ragged(starts[at], lengths)]
     row = np.insert(numbers.astype(np.int32), np.flatnonzero(first), -1)
-    return len(starts), zlib.compress(words.tobytes(), 1), _packed(np.cumsum(lengths)), _packed(row)
+    return len(starts), zlib.compress(words.tobytes(), 1), _packed(lengths), _packed(row)
 
 
 def _sharder(shard_bytes: int):
@@ -153,9 +170,9 @@ def _sharder(shard_bytes: int):
 class _Shard:
     """Words of a shard and the places at which phrases of some size start."""
 
-    def __init__(self, words: bytes, ends: bytes, numbers: bytes):
-        self.text, self.ends = zlib.decompress(words), _unpacked(ends, np.int64)
-        row = _unpacked(numbers, np.int32)
+    def __init__(self, words: bytes, lengths: bytes, numbers: bytes):
+        self.text, self.ends = zlib.decompress(words), np.cumsum(_unpacked(lengths), dtype=np.int64)
+        row = _unpacked(numbers)
         self.numbers = row[row >= 0]
         piece = np.cumsum(row < 0)[row >= 0]
         starts = np.concatenate([[0], self.ends[:-1]]) if len(self.ends) else self.ends
@@ -203,20 +220,20 @@ def _miner(longest: int, bits: int):
         total = np.bincount(at, np.concatenate(counts), len(merged)).astype(np.int64)
         ranges = merged >> _U(_KEY_BITS)
         edges = np.searchsorted(ranges, np.arange((1 << bits) + 1, dtype=np.uint64))
-        low = merged.astype(np.uint32)
+        low = merged & _U((1 << _KEY_BITS) - 1)
         for r in range(1 << bits):
             if edges[r] == edges[r + 1]:
                 continue
             mine_keys, times = low[edges[r]: edges[r + 1]], total[edges[r]: edges[r + 1]]
             # Most phrases stand once in a shard: their counts are not written.
             often = times > 1
-            yield (lang, r, shard, support, np.concatenate([mine_keys[often], mine_keys[~often]]).tobytes(),
+            yield (lang, r, shard, support, _key_bytes(np.concatenate([mine_keys[often], mine_keys[~often]])),
                    int(often.sum()).to_bytes(8, "little"), _packed(times[often]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                own = _Shard(row["words"], row["ends"], row["numbers"])
+                own = _Shard(row["words"], row["lengths"], row["numbers"])
                 rows = list(zip(*mine(row["shard"], row["lang"], row["support"], own)))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _MINED)], schema=_MINED)
@@ -233,11 +250,11 @@ _EVERY = -1
 def _uniter(least: int):
     def unite(table: pa.Table) -> pa.Table:
         """Of the phrases of one range and language, those that may be frequent: for the shards that listed them all, and once more."""
-        keys = [np.frombuffer(k, np.uint32) for k in table["keys"].to_pylist()]
+        keys = [_keys_of(k) for k in table["keys"].to_pylist()]
         counts = []
         for own, repeated, times in zip(keys, table["repeated"].to_pylist(), table["counts"].to_pylist()):
             count = np.ones(len(own), np.int64)
-            count[: int.from_bytes(repeated, "little")] = _unpacked(times, np.int64)
+            count[: int.from_bytes(repeated, "little")] = _unpacked(times)
             counts.append(count)
         support = np.array(table["support"].to_pylist(), np.int64)
         merged, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -248,12 +265,12 @@ def _uniter(least: int):
         np.subtract.at(hidden, at, np.repeat(support - 1, [len(k) for k in keys]))
         fits = listed + hidden >= least
         lang, part = table["lang"][0].as_py(), table["range"][0].as_py()
-        rows = [(lang, _EVERY, part, merged[fits].tobytes())] if table["hidden"][0].as_py() else []
+        rows = [(lang, _EVERY, part, _key_bytes(merged[fits]))] if table["hidden"][0].as_py() else []
         ends = np.cumsum([len(k) for k in keys])
         for shard, low, own, end in zip(table["shard"].to_pylist(), support, keys, ends):
             chosen = own[fits[at[end - len(own): end]]]
             if low == 1 and len(chosen):
-                rows.append((lang, shard, part, np.sort(chosen).tobytes()))
+                rows.append((lang, shard, part, _key_bytes(np.sort(chosen))))
         columns = list(zip(*rows)) if rows else [[]] * 4
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _UNITED)], schema=_UNITED)
 
@@ -270,10 +287,10 @@ def _counter(longest: int, bits: int):
         rows: list[pa.Table] = []
         if left.num_rows and right.num_rows:
             wanted = np.sort(np.concatenate([
-                np.frombuffer(k, np.uint32).astype(np.uint64) + (_U(r) << _U(_KEY_BITS))
+                _keys_of(k).astype(np.uint64) + (_U(r) << _U(_KEY_BITS))
                 for r, k in zip(right["range"].to_pylist(), right["keys"].to_pylist())]))
             lang = left["lang"][0].as_py()
-            own = _Shard(left["words"][0].as_py(), left["ends"][0].as_py(), left["numbers"][0].as_py())
+            own = _Shard(left["words"][0].as_py(), left["lengths"][0].as_py(), left["numbers"][0].as_py())
             for size in range(1, longest + 1):
                 places = own.places(size)
                 keys = own.keys(places, size) >> _U(64 - bits - _KEY_BITS)
@@ -315,12 +332,12 @@ def frequent_phrases(docs: DataFrame, min_count: int = 10, longest: int = 3, sha
     support = F.greatest(F.ceil(share / F.greatest(F.col("n"), F.lit(1))).cast("long"), F.lit(1))
     weighed = shards.join(words, "lang").withColumn("support", support)
     hidden = settled(weighed.groupBy("lang").agg(F.sum(F.col("support") - 1).alias("hidden")))
-    mined = weighed.select("shard", "lang", "support", "words", "ends", "numbers").mapInArrow(_miner(longest, bits), MINED)
-    united = settled(mined.join(hidden, "lang").groupBy("lang", "range").applyInArrow(_uniter(min_count), UNITED))
-    high = weighed.where("support > 1").select("lang", "shard")
-    every = united.where(F.col("shard") == _EVERY).drop("shard").join(high, "lang")
-    sent = united.where(F.col("shard") != _EVERY).select("shard", "range", "keys").unionByName(every.select("shard", "range", "keys"))
-    found = shards.select("shard", "lang", "words", "ends", "numbers").groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(
+    mined = weighed.select("shard", "lang", "support", "words", "lengths", "numbers").mapInArrow(_miner(longest, bits), MINED)
+    united = mined.join(hidden, "lang").groupBy("lang", "range").applyInArrow(_uniter(min_count), UNITED)
+    high = settled(weighed.where("support > 1").groupBy("lang").agg(F.collect_list("shard").alias("high")))
+    to = F.when(F.col("shard") == _EVERY, F.coalesce("high", F.array().cast("array<bigint>"))).otherwise(F.array("shard"))
+    sent = united.join(high, "lang", "left").select(F.explode(to).alias("shard"), "range", "keys")
+    found = shards.select("shard", "lang", "words", "lengths", "numbers").groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(
         _counter(longest, bits), FOUND)
     counts = found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     return settled(counts), words

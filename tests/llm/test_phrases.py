@@ -66,13 +66,13 @@ def test_a_shard_lists_phrases_from_its_lowered_support_on():
     text = ["to be or not to be"] * 4
     import pyarrow as pa
 
-    _, words, ends, numbers = phrases._shard([pa.array(text, pa.large_string())])
+    _, words, lengths, numbers = phrases._shard([pa.array(text, pa.large_string())])
     mine = phrases._miner(3, 0)
-    rows = pa.RecordBatch.from_arrays([pa.array([v]) for v in (1, "en", 5, words, ends, numbers)],
-                                      names=["shard", "lang", "support", "words", "ends", "numbers"])
+    rows = pa.RecordBatch.from_arrays([pa.array([v]) for v in (1, "en", 5, words, lengths, numbers)],
+                                      names=["shard", "lang", "support", "words", "lengths", "numbers"])
     (batch,) = mine(iter([rows]))
-    # "to", "be" and "to be" stand eight times; all else four times.
-    assert len(batch.column("keys")[0].as_py()) == 3 * 4
+    # "to", "be" and "to be" stand eight times, all else four times; a key has three bytes.
+    assert len(batch.column("keys")[0].as_py()) == 3 * 3
 
 
 def test_no_documents(spark):
