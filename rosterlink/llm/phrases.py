@@ -333,7 +333,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 10, longest: int = 3, sha
     weighed = shards.join(words, "lang").withColumn("support", support)
     hidden = settled(weighed.groupBy("lang").agg(F.sum(F.col("support") - 1).alias("hidden")))
     mined = weighed.select("shard", "lang", "support", "words", "lengths", "numbers").mapInArrow(_miner(longest, bits), MINED)
-    united = mined.join(hidden, "lang").groupBy("lang", "range").applyInArrow(_uniter(min_count), UNITED)
+    # Written, so that what was shuffled for it can go before the shards are shuffled.
+    united = settled(mined.join(hidden, "lang").groupBy("lang", "range").applyInArrow(_uniter(min_count), UNITED))
     high = settled(weighed.where("support > 1").groupBy("lang").agg(F.collect_list("shard").alias("high")))
     to = F.when(F.col("shard") == _EVERY, F.coalesce("high", F.array().cast("array<bigint>"))).otherwise(F.array("shard"))
     sent = united.join(high, "lang", "left").select(F.explode(to).alias("shard"), "range", "keys")
