@@ -287,7 +287,7 @@ def test_lm_against_a_plain_model(spark, docs):
         own = (triples[(*h, w)] - 0.75) / after2[h] if triples[(*h, w)] >= 2 else 0
         return own + (1 - spent2[h] / after2[h]) * chance(h[1:], w)
 
-    model = lm.train(docs)
+    model = lm.train(docs, min_counts=(1, 2, 2))
     rows = lm.score_texts(docs, model).collect()
     assert len(rows) == len(texts)
     for r in rows:
