@@ -101,6 +101,17 @@ class EliasFano:
         high = (self._select(part, place, True) - place).astype(np.uint64)
         return high << self.widths[part] | self._low(part, place)
 
+    def neighbours(self, part: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values at a place of a part and at the next one."""
+        at = self._select(part, place, True)
+        step = _lowest(self._window(part, at + 1))
+        following = at + 1 + step
+        far = np.flatnonzero(step == 64)
+        following[far] = self._select(part[far], place[far] + 1, True)
+        width = self.widths[part]
+        return ((at - place).astype(np.uint64) << width | self._low(part, place),
+                (following - place - 1).astype(np.uint64) << width | self._low(part, place + 1))
+
     def find(self, part: np.ndarray, value: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Place of ``value`` in ``[first, end)`` of a part, -1 if it is not there."""
         out = np.full(len(value), -1, np.int64)
@@ -108,25 +119,25 @@ class EliasFano:
         buckets = (np.diff(self.offsets["zeros"])[part] - 1) * 8
         todo = np.flatnonzero((first < end) & (high < buckets))
         low = value & ((_ONE << self.widths[part]) - _ONE)
-        at = np.zeros(len(value), np.int64)
+        begin = np.zeros(len(value), np.int64)
         later = todo[high[todo] > 0]
-        at[later] = self._select(part[later], high[later] - 1, False) + 1
-        place = at - high
+        begin[later] = self._select(part[later], high[later] - 1, False) + 1
+        # A one is a value of the bucket, a zero its end; a bucket of 64 values or more ends at a zero to be found.
+        stop = begin.copy()
+        run = _lowest(~self._window(part[todo], begin[todo]))
+        stop[todo] += run
+        far = todo[run == 64]
+        stop[far] = self._select(part[far], high[far], False)
+        lower, upper = np.maximum(begin - high, first), np.minimum(stop - high, end)
+        todo = todo[lower[todo] < upper[todo]]
+        # Values of one bucket ascend in their low bits, so it is halved.
         while len(todo):
-            # A one is a value of the bucket, a zero its end.
-            run = _lowest(~self._window(part[todo], at[todo]))
-            stop = np.minimum(place[todo] + run, end[todo])
-            here = np.maximum(place[todo], first[todo])
-            look = np.flatnonzero(here < stop)
-            while len(look):
-                rows = todo[look]
-                seen = self._low(part[rows], here[look])
-                same = seen == low[rows]
-                out[rows[same]] = here[look[same]]
-                look = look[seen < low[rows]]
-                here[look] += 1
-                look = look[here[look] < stop[look]]
-            todo = todo[(run == 64) & (out[todo] < 0)]
-            at[todo] += 64
-            place[todo] += 64
+            middle = (lower[todo] + upper[todo]) >> 1
+            seen, wanted = self._low(part[todo], middle), low[todo]
+            same, less = seen == wanted, seen < wanted
+            out[todo[same]] = middle[same]
+            lower[todo[less]] = middle[less] + 1
+            upper[todo[~less]] = middle[~less]
+            todo = todo[~same]
+            todo = todo[lower[todo] < upper[todo]]
         return out

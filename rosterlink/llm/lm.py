@@ -58,7 +58,7 @@ DISCOUNT = 0.75
 # Steps of a quantised log10 probability.
 STEPS = 4096
 # Tokens a task gathers before it counts them.
-_PENDING = 4_000_000
+_PENDING = 2_000_000
 # Bytes of text scored at once, and n-grams looked up at once.
 _SCORED_BYTES = 1 << 23
 _BLOCK = 1 << 15
@@ -204,12 +204,16 @@ class Level:
 
     @staticmethod
     def _search(heads: eliasfano.EliasFano, nodes: eliasfano.EliasFano, part: np.ndarray, parent: np.ndarray, name: np.ndarray) -> np.ndarray:
-        """Place in its part of the node ``name`` under ``parent``, -1 where there is none."""
-        first, end = heads.get(part, parent).astype(np.int64), heads.get(part, parent + 1).astype(np.int64)
-        base = np.zeros(len(parent), np.uint64)
+        """Place in its part of the node ``name`` under ``parent``, -1 where there is none; parents ascend."""
+        if not len(part):
+            return np.zeros(0, np.int64)
+        new = np.append(True, (part[1:] != part[:-1]) | (parent[1:] != parent[:-1]))
+        own, group = part[new], np.cumsum(new) - 1
+        first, end = (v.astype(np.int64) for v in heads.neighbours(own, parent[new]))
+        base = np.zeros(len(own), np.uint64)
         behind = np.flatnonzero((first > 0) & (first < end))
-        base[behind] = nodes.get(part[behind], first[behind] - 1)
-        return nodes.find(part, base + name.astype(np.uint64), first, end)
+        base[behind] = nodes.get(own[behind], first[behind] - 1)
+        return nodes.find(part, base[group] + name.astype(np.uint64), first[group], end[group])
 
     def spent(self, edges: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The mass that the successors of ascending words take of the words' counts."""
