@@ -59,6 +59,8 @@ DISCOUNT = 0.75
 STEPS = 4096
 # Tokens a task gathers before it counts them.
 _PENDING = 2_000_000
+# Training tokens whose triples one part holds, about.
+PART_TOKENS = 1 << 20
 # Bytes of text scored at once, and n-grams looked up at once.
 _SCORED_BYTES = 1 << 23
 _BLOCK = 1 << 15
@@ -534,8 +536,8 @@ class Model:
     train_tokens: int
 
 
-def train(texts: DataFrame, text_col: str = "text", min_counts: tuple[int, int, int] = MIN_COUNTS) -> Model:
-    """Count words, pairs and triples of all texts and code them as a trie."""
+def train(texts: DataFrame, text_col: str = "text", min_counts: tuple[int, int, int] = MIN_COUNTS, part_tokens: int = PART_TOKENS) -> Model:
+    """Count words, pairs and triples of all texts and code them as a trie; ``part_tokens`` bounds what a task holds."""
     texts = texts.select(F.col(text_col).cast("string").alias("text"))
     parts = max(4, texts.rdd.getNumPartitions())
     coded = _with_missing(_counted_words(texts, parts, min_counts[0]), parts)
@@ -544,6 +546,7 @@ def train(texts: DataFrame, text_col: str = "text", min_counts: tuple[int, int,
     model = Model([_shipped(coded)], np.zeros((0, 2), np.int64), words, total)
     if not total:
         return model
+    parts = -(-total // part_tokens)
     model.edges = edges = _edges(texts, model.levels[0], parts)
     model.levels.append(_shipped(_with_missing(_counted_triples(texts, parts, model.levels[0], words, edges, min_counts[1:]), parts)))
     return model

@@ -60,10 +60,10 @@ def test_a_word_split_over_parts(spark):
     rows = [(i, " ".join(w for _ in range(60) for w in ("the", f"w{draw.randrange(400)}", f"v{draw.randrange(30)}"))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id int, text string")
     scores = []
-    for parts in (2, 13):
-        model = lm.train(docs.repartition(parts))
+    for tokens in (1 << 20, 500):
+        model = lm.train(docs, part_tokens=tokens)
         split = model.edges[:, 0].tolist()
-        assert parts == 2 or max(split.count(w) for w in split) >= 2
+        assert tokens > 500 or max(split.count(w) for w in split) >= 2
         scores.append([tuple(r) for r in lm.score_texts(docs, model).orderBy("doc_id").collect()])
     assert [r[:5] for r in scores[0]] == [r[:5] for r in scores[1]]
     assert np.allclose([r[5] for r in scores[0]], [r[5] for r in scores[1]], rtol=1e-9)
