@@ -12,7 +12,9 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
-_ONE, _SIX, _ALL = _U(1), _U(6), ~_U(0)
+_ONE, _SIX = _U(1), _U(6)
+# Other bits between two kept places beyond which these are not walked over.
+_RUN = 64
 #: Arrays of a part, in this order, with their types.
 ARRAYS = {"low": np.uint64, "high": np.uint64, "zeros": np.uint32, "ones": np.uint32}
 
@@ -66,6 +68,7 @@ class EliasFano:
         block = place >> 3
         at = self.arrays[name][self.offsets[name][part] + block].astype(np.int64) + (block << 3)
         left = place & 7
+        self._nearer(part, place, at, left, *(("ones", "zeros") if of_ones else ("zeros", "ones")))
         todo = np.flatnonzero(left)
         at[todo] += 1
         while len(todo):
@@ -88,6 +91,34 @@ class EliasFano:
             todo = rest
         return at
 
+    def _nearer(self, part: np.ndarray, place: np.ndarray, at: np.ndarray, left: np.ndarray, own: str, other: str) -> None:
+        """Where a long run of the other bits lies between two kept places, start at the last kept one of these before the goal."""
+        kept, others = self.arrays[own], self.arrays[other]
+        block = self.offsets[own][part] + (place >> 3)
+        known = block + 1 < self.offsets[own][part + 1]
+        far = np.flatnonzero(known & (left > 0))
+        far = far[kept[block[far] + 1] - kept[block[far]] > _RUN]
+        if not len(far):
+            return
+        base, goal = self.offsets[other][part[far]], place[far]
+        lower = kept[block[far]].astype(np.int64) >> 3
+        start = lower.copy()
+        upper = np.minimum((kept[block[far] + 1].astype(np.int64) >> 3) + 1, self.offsets[other][part[far] + 1] - base)
+        todo = np.flatnonzero(lower < upper)
+        while len(todo):
+            middle = (lower[todo] + upper[todo]) >> 1
+            before = others[base[todo] + middle] <= goal[todo]
+            lower[todo[before]] = middle[before] + 1
+            upper[todo[~before]] = middle[~before]
+            todo = todo[lower[todo] < upper[todo]]
+        found = np.flatnonzero(lower > start)
+        last, rows = lower[found] - 1, far[found]
+        passed = others[base[found] + last].astype(np.int64)
+        position = passed + (last << 3)
+        later = position > at[rows]
+        at[rows[later]] = position[later]
+        left[rows[later]] = goal[found[later]] - passed[later] + 1
+
     def _low(self, part: np.ndarray, place: np.ndarray) -> np.ndarray:
         width = self.widths[part]
         at = place.astype(np.uint64) * width
