@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..store import numbered, settled
 from .components import components
@@ -127,7 +128,7 @@ def forest(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _compare(group: _Rows, other: _Rows, same: bool, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows ``a, b, links``: links of ``a`` where ``b`` is null (-1), else an edge of the forest."""
+    """Rows ``a, b, links``: how many links ``a`` has, or with none an edge of the forest."""
     for low in range(0, len(other.ids), _BLOCK):
         high = min(low + _BLOCK, len(other.ids))
         i, j = linked_pairs(group, other, low, high, threshold)
@@ -139,7 +140,7 @@ def _compare(group: _Rows, other: _Rows, same: bool, threshold: float) -> Iterat
             continue
         for ids, own, weights in ((group.ids, i, other.sizes[j]), (other.ids, j, group.sizes[i])):
             places, at = np.unique(own, return_inverse=True)
-            yield ids[places], np.full(len(places), -1), np.bincount(at, weights).astype(np.int64)
+            yield ids[places], ids[places], np.bincount(at, weights).astype(np.int64)
         edges = forest(ids_a, ids_b)
         if edges:
             a, b = np.array(edges).T
@@ -189,9 +190,15 @@ def _near(groups: DataFrame, tiles: DataFrame, reach: float) -> DataFrame:
 def near_duplicates(
     vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
-    """The id column, ``n_links``, ``component_id`` and ``kept`` of each vector."""
+    """The id column, ``n_links``, ``component_id`` and ``kept`` of each vector.
+
+    Ids are whole numbers of any type and sign; ``component_id`` has their type.
+    """
     spark = vectors.sparkSession
-    named = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
+    kind = vectors.select(F.col(id_col)).schema[0].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"ids are whole numbers, {id_col} is {kind.simpleString()}")
+    named = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     able = finite(F.col("vector")) & F.coalesce(F.exists("vector", lambda x: x != 0), F.lit(False)) & F.col("id").isNotNull()
     valid = named.where(able).groupBy("id").agg(F.min("vector").alias("vector"))
     classes = settled(valid.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("size")).select("id", "size", "vector"))
@@ -229,14 +236,14 @@ def near_duplicates(
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(links)], names=["a", "b", "links"])
 
     found = settled(dealt.mapInArrow(run, "a bigint, b bigint, links bigint"))
-    links = found.where("b < 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    joined = components(found.where("b >= 0").select("a", "b")).select(F.col("node").alias("rep"), "component")
+    links = found.where("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
+    joined = components(found.where("links = 0").select("a", "b")).select(F.col("node").alias("rep"), "component")
     known = (classes.join(links, F.col("id") == F.col("rep"), "left").drop("rep")
              .join(joined, F.col("id") == F.col("rep"), "left")
              .select("vector", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
                      F.coalesce("component", "id").alias("component_id")))
     members = valid.join(known, "vector").select(F.col("id").alias("_id"), "n_links", "component_id")
     return (named.select("id").join(members, F.col("id") == F.col("_id"), "left")
-            .select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component_id", "id").alias("component_id"),
+            .select(F.col("id").cast(kind).alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                    F.coalesce("component_id", "id").cast(kind).alias("component_id"),
                     F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept")))

@@ -105,7 +105,8 @@ class ImpactIndex:
         rows, _ = self.possible(query, min(k + same, len(self.ids)))
         rows = rows[self.ids[rows] != own]
         scores = self._exact(query, rows)
-        best = np.lexsort((self.ids[rows], -scores.astype(np.float64) if self.largest >= 2 ** 31 else -scores))[:k]
+        # The complement of a whole number orders backwards, without overflow or rounding.
+        best = np.lexsort((self.ids[rows], ~scores))[:k]
         return self.ids[rows[best]], scores[best]
 
 

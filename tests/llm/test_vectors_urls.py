@@ -117,6 +117,24 @@ def test_index_stops_early_and_is_exact():
     assert stopped
 
 
+def test_near_scores_of_large_components_keep_their_order():
+    """Scores that floats of 64 bits cannot tell apart."""
+    rows = np.array([[2 ** 59 + i] for i in range(60)], np.int64)
+    ids, scores = topk.ImpactIndex(np.arange(60), rows).search(-1, np.array([1], np.int64), 5)
+    assert ids.tolist() == [59, 58, 57, 56, 55] and scores.tolist() == [2 ** 59 + i for i in ids.tolist()]
+
+
+def test_near_duplicates_with_other_ids(spark):
+    rows = [(-5, [1.0, 0.0]), (-1, [1.0, 0.01]), (3, [0.0, 1.0]), (None, [1.0, 0.0]), (4, [0.0, 1.0])]
+    small = spark.createDataFrame(rows, "vec_id int, embedding array<float>")
+    found = neardup.near_duplicates(small)
+    assert found.schema["vec_id"].dataType == found.schema["component_id"].dataType == small.schema["vec_id"].dataType
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found.collect()}
+    assert got == {-5: (1, -5, True), -1: (1, -5, False), 3: (1, 3, True), 4: (1, 3, False), None: (0, None, True)}
+    with pytest.raises(TypeError):
+        neardup.near_duplicates(small.selectExpr("'a' AS vec_id", "embedding"))
+
+
 URLS = [
     None, "", "no scheme", "http://", "http://Example.ORG", "http://example.org/", "https://a.example.org/es/x?y=1#z",
     "http://notexample.org/es/x", "http://example.org/en/12", "x://com/fr/", "http://b.com/de/1", "http://b.com/fr/1?q#f",
