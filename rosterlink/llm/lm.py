@@ -62,7 +62,7 @@ _PENDING = 2_000_000
 # Training tokens whose triples one part holds, about.
 PART_TOKENS = 1 << 20
 # Bytes of text scored at once, and n-grams looked up at once.
-_SCORED_BYTES = 1 << 23
+_SCORED_BYTES = 1 << 22
 _BLOCK = 1 << 15
 _U = np.uint64
 END = _U(0x5851F42D4C957F2D)
