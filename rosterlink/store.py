@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is set.
 
-    All executors must see it, so on a cluster the setting is required. The
+    All executors must see it, so on a cluster a missing setting is an error. The
     fallback is for one-machine sessions such as tests.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -21,6 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
         current = context.getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors see.")
         folder = tempfile.mkdtemp(prefix="rosterlink-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -46,9 +48,10 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     ranged = settled(ranged.withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     counts = dict(ranged.groupBy(part.alias("part")).count().collect())
-    offsets, total = {}, 0
-    for key in sorted(counts):
-        offsets[key], total = total, total + counts[key]
-    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in offsets.items()])
-    base = F.element_at(F.map_from_entries(pairs), part) if offsets else F.lit(0)
+    # Rows before each range, found by the range's number.
+    offsets, total = [], 0
+    for key in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(key, 0)
+    base = F.get(F.array(*map(F.lit, offsets)).cast("array<bigint>"), part.cast("int")) if offsets else F.lit(0)
     return ranged.withColumn(name, (base + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).drop("_at")
