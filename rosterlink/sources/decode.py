@@ -1,4 +1,4 @@
-"""One people-list file to rows; runs inside tasks, one file at a time."""
+"""What people-list files are written in, and workbook sheets to rows, one workbook at a time inside tasks."""
 
 from __future__ import annotations
 
@@ -12,8 +12,6 @@ import pandas as pd
 
 # Encodings tried in this order, strictly.
 ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
-# Lines searched for the header below a preamble.
-PREAMBLE_LINES = 10
 CHUNK_ROWS = 20_000
 # Separators looked for in a header.
 SEPARATORS = (",", ";", "\t")
@@ -28,37 +26,6 @@ _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
-def is_workbook(path: str) -> bool:
-    return path.lower().endswith((".xlsx", ".xls"))
-
-
-def decode_text(content: bytes) -> str:
-    for encoding in ENCODINGS[:-1]:
-        try:
-            return content.decode(encoding)
-        except UnicodeDecodeError:
-            continue
-    return content.decode(ENCODINGS[-1])
-
-
-def csv_chunks(
-    content: bytes, header_mark: str | None, rows: int | None = None, sep: str | None = None
-) -> Iterator[pd.DataFrame]:
-    """Text rows of a CSV file; the header is the first early line with ``header_mark``."""
-    text = decode_text(content)
-    head = io.StringIO(text)
-    lines = [head.readline() for _ in range(PREAMBLE_LINES if header_mark else 1)]
-    skip = next((i for i, line in enumerate(lines) if header_mark and header_mark in line), 0)
-    # Of equally frequent separators the first counts.
-    separator = sep or max(SEPARATORS, key=lines[skip].count)
-    reader = pd.read_csv(
-        io.StringIO(text), sep=separator, skiprows=skip, dtype=str, na_values=sorted(NULL_TEXTS),
-        keep_default_na=False, chunksize=CHUNK_ROWS, nrows=rows,
-    )
-    with reader:
-        yield from reader
-
-
 def _cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
     kind = cell.get("t")
     if kind == "inlineStr":
@@ -117,12 +84,3 @@ def workbook_chunks(content: bytes, sheet_name: str | None, rows: int | None = N
                     yield pd.DataFrame(kept, columns=header, dtype=object)
                     kept = []
         yield pd.DataFrame(kept, columns=header, dtype=object)
-
-
-def file_chunks(
-    path: str, content: bytes, header_mark: str | None, sheet_name: str | None, rows: int | None = None,
-    sep: str | None = None,
-) -> Iterator[pd.DataFrame]:
-    if is_workbook(path):
-        return workbook_chunks(content, sheet_name, rows)
-    return csv_chunks(content, header_mark, rows, sep)
