@@ -8,7 +8,9 @@ from .operators.enrich import (
     match_counts,
     match_stats,
     unmatched_names,
+    write_audience,
 )
+from .operators.index import ContactIndex
 from .operators.match import fuzzy_match
 from .operators.normalize import (
     build_contacts,
@@ -19,6 +21,7 @@ from .operators.normalize import (
 from .sources.files import load_congress_list, load_linkedin_connections, load_registrants
 
 __all__ = [
+    "ContactIndex",
     "build_contacts",
     "classify_by_catalogue",
     "classify_by_rules",
@@ -37,4 +40,5 @@ __all__ = [
     "normalize_connections",
     "normalize_registrants",
     "unmatched_names",
+    "write_audience",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import strip
 from ..store import settled
 from .classify import with_category
+from .index import ContactIndex, contacts_of
 from .match import fuzzy_match
 from .normalize import CONTACT_POS, quoted
 
@@ -63,7 +64,7 @@ def add_categories(
 
 def enrich_audience(
     registrants: DataFrame,
-    contacts: DataFrame,
+    contacts: DataFrame | ContactIndex,
     score_cutoff: float = 90.0,
     classify_position_fn: Callable | None = None,
     classify_company_fn: Callable | None = None,
@@ -74,7 +75,7 @@ def enrich_audience(
 ) -> DataFrame:
     """Match, attach contact data and classify; unmatched registrants are left out."""
     matched = fuzzy_match(registrants, contacts, score_cutoff)
-    audience = attach_contacts(matched, contacts, join_on, null_keys_equal)
+    audience = attach_contacts(matched, contacts_of(contacts)[0], join_on, null_keys_equal)
     return add_categories(audience, classify_position_fn, classify_company_fn, null_text)
 
 
@@ -111,29 +112,47 @@ def match_counts(registrants: DataFrame, audience: DataFrame) -> DataFrame:
     )
 
 
-def match_stats(registrants: DataFrame, audience: DataFrame) -> dict:
-    """Coverage of the matching as a dict that can be written as JSON.
+def write_audience(registrants: DataFrame, audience: DataFrame, folder: str) -> dict:
+    """Write the audience and the names without a match below ``folder``; the counts of ``match_stats`` as a dict.
 
-    The two name columns are written once, so the match behind ``audience``
-    runs once. ``unmatched_names`` is a sorted list; for more names than the
-    driver should hold use ``unmatched_names()``, which stays a frame.
+    The match runs once, as the audience is written. Counts come from what was
+    written, not from metrics of running tasks, which a lost executor's tasks
+    would add to twice. The names are a table sorted by range (``unmatched``)
+    that the driver never sees, so this suits lists of any size.
     """
-    registrants = settled(registrants.select("Name"))
-    audience = settled(audience.select(*[c for c in audience.columns if c == "Name registrant"] or [F.lit(1).alias("_row")]))
-    row = match_counts(registrants, audience).first()
-    registered, matched = row["n_registered"], row["n_matched"]
+    folder = folder.rstrip("/")
+    audience.write.parquet(f"{folder}/audience")
+    written = audience.sparkSession.read.schema(audience.schema).parquet(f"{folder}/audience")
+    registered = settled(registrants.select("Name"))
+    unmatched_names(registered, written).orderBy("Name").write.parquet(f"{folder}/unmatched")
+    return _stats(registered.count(), written.count())
+
+
+def _stats(registered: int, matched: int) -> dict:
     unmatched = registered - matched
-    names = unmatched_names(registrants, audience).orderBy("Name")
     return {
         "n_registered": registered,
         "n_matched": matched,
         "n_unmatched": unmatched,
         "pct_matched": round(100 * matched / registered, 2) if registered else 0.0,
         "pct_unmatched": round(100 * unmatched / registered, 2) if registered else 0.0,
-        "unmatched_names": [row[0] for row in names.toLocalIterator()],
     }
 
 
+def match_stats(registrants: DataFrame, audience: DataFrame) -> dict:
+    """Coverage of the matching as a dict that can be written as JSON.
+
+    The two name columns are written once, so the match behind ``audience``
+    runs once. ``unmatched_names`` is a sorted list; for more names than the
+    driver should hold use ``write_audience``, or ``unmatched_names()``, which stays a frame.
+    """
+    registrants = settled(registrants.select("Name"))
+    audience = settled(audience.select(*[c for c in audience.columns if c == "Name registrant"] or [F.lit(1).alias("_row")]))
+    row = match_counts(registrants, audience).first()
+    names = unmatched_names(registrants, audience).orderBy("Name")
+    return _stats(row["n_registered"], row["n_matched"]) | {"unmatched_names": [row[0] for row in names.toLocalIterator()]}
+
+
 # --- filter ------------------------------------------------------------------------------
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE_CLASS, characters, let
+from .index import Fresh
 
 # Slack on computed bounds; the score itself always decides.
 SLACK = 1e-9
@@ -158,11 +159,12 @@ def similar_keys(names: DataFrame, share: float, order: Order) -> DataFrame:
                          F.col("_key.level").alias("level"), F.col("_key.key").alias("key"))
 
 
-def similar_pairs(wanted: DataFrame, contacts: DataFrame, share: float) -> DataFrame:
+def similar_pairs(wanted: DataFrame, contacts: DataFrame, share: float, kept: Fresh | None = None) -> DataFrame:
     """Candidates ``name, contact_name, contact_pos, most`` for a ratio of ``share``; ``most`` bounds the ratio from above."""
-    order = Order(contacts.select(padded_grams(F.array_join("words", " "))))
+    kept = kept or Fresh()
+    order = kept.order("grams", lambda: Order(contacts.select(padded_grams(F.array_join("words", " ")))))
     left = similar_keys(wanted, share, order)
-    right = similar_keys(contacts, share, order).withColumnsRenamed(
+    right = kept.table(f"similar {share}", ["level", "key"], lambda: similar_keys(contacts, share, order)).withColumnsRenamed(
         {"name": "contact_name", "n": "m", "bag": "contact_bag", "own_level": "contact_level"})
     met = left.join(right, ["level", "key"])
     n, m = F.col("n"), F.col("m")
@@ -265,20 +267,25 @@ def _rare_tokens(names: DataFrame, budget: Column, order: Order) -> DataFrame:
     return names.withColumn("key", F.explode(F.when(paired, F.concat(two, many)).otherwise(one)))
 
 
-def covered_pairs(wanted: DataFrame, contacts: DataFrame, own: float) -> DataFrame:
+def covered_pairs(wanted: DataFrame, contacts: DataFrame, own: float, kept: Fresh | None = None) -> DataFrame:
     """Pairs of which one name's tokens, or all but very short ones, stand in the other: ``name, size, contact_size, contact_pos, own``.
 
     ``own`` is the ratio of the shared tokens to all of that name, ``own`` at least.
     """
     share = own / 100
-    order = Order(contacts.select("kinds"))
+    kept = kept or Fresh()
+    order = kept.order("tokens", lambda: Order(contacts.select("kinds")))
     budget = F.char_length("flat") * (2 - 2 * share) / (2 - share) + 1e-6
     columns = ["size", "kinds", "flat"]
     sides = (wanted.select("name", *columns), contacts.select("contact_pos", *columns))
     found = []
     for inner, outer in (sides, sides[::-1]):
-        probes = _rare_tokens(inner, budget, order)
-        table = _all_tokens(outer).withColumnsRenamed({c: f"other_{c}" for c in columns}).drop("other_flat")
+        # Of the two sides of each join the contacts are the kept one.
+        if "name" in inner.columns:
+            probes, table = _rare_tokens(inner, budget, order), kept.table("all tokens", ["key"], lambda: _all_tokens(outer))
+        else:
+            probes, table = kept.table(f"rare tokens {share}", ["key"], lambda: _rare_tokens(inner, budget, order)), _all_tokens(outer)
+        table = table.withColumnsRenamed({c: f"other_{c}" for c in columns}).drop("other_flat")
         met = probes.join(table, "key")
         part = F.char_length(F.array_join(F.array_intersect("kinds", "other_kinds"), " "))
         whole = F.char_length("flat")

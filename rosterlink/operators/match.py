@@ -32,6 +32,7 @@ from ..functions import similarity as S
 from ..store import settled
 from . import grams as G
 from . import keys as K
+from .index import ContactIndex, Fresh, contacts_of
 from .normalize import CONTACT_POS
 
 # Score of a pair whose shorter name stands inside a much longer one.
@@ -77,9 +78,10 @@ def _dealt(names: DataFrame) -> DataFrame:
 class _Sides:
     """Both sides' distinct names, with tokens, for one cutoff."""
 
-    def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float):
+    def __init__(self, wanted: DataFrame, contacts: DataFrame, cutoff: float, kept: Fresh):
         self.wanted = settled(K.with_tokens(_dealt(wanted)))
-        self.contacts = settled(K.with_tokens(_dealt(contacts)))
+        self.contacts = kept.table("tokens", ["name"], lambda: K.with_tokens(_dealt(contacts)), settle=True)
+        self.kept = kept
         self.cutoff = cutoff
         self.share = cutoff / 100
 
@@ -108,7 +110,7 @@ def worth_scoring(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
 
 def _covered(sides: _Sides) -> DataFrame:
     """One side's tokens, or all but very short ones, all present on the other side."""
-    found = G.covered_pairs(sides.wanted, sides.contacts, sides.cutoff / S.TOKEN_WEIGHT)
+    found = G.covered_pairs(sides.wanted, sides.contacts, sides.cutoff / S.TOKEN_WEIGHT, sides.kept)
     scored = found.withColumn("score", S.TOKEN_WEIGHT * F.col("own"))
     return scored.where(_near() & (F.col("score") >= sides.cutoff)).select(*_SCORED)
 
@@ -124,9 +126,9 @@ def _inside(sides: _Sides) -> DataFrame:
 
     # A name listed inside a longer one is short, which bounds what is sent.
     short = size <= K.SUBSTRING_LENGTH
-    whole_contacts = contacts.where(short).select(
+    whole_contacts = sides.kept.table("whole", ["key"], lambda: contacts.where(short).select(
         F.col("name").alias("key"), F.col("size").alias("contact_size"), CONTACT_POS
-    )
+    ))
     parts = K.substrings(wanted.where(listed), low, high, K.SUBSTRING_LENGTH)
     in_wanted = K.lookup(parts.distinct(), whole_contacts, "key", F.col("name"))
     whole_wanted = wanted.where(short).withColumn("key", F.col("name"))
@@ -134,7 +136,8 @@ def _inside(sides: _Sides) -> DataFrame:
         "key", F.col("size").alias("contact_size"), CONTACT_POS
     )
     # However many contacts hold a part, one of each length is enough.
-    first = parts.groupBy("key", "contact_size").agg(F.min(CONTACT_POS).alias(CONTACT_POS))
+    first = sides.kept.table("parts", ["key"], lambda: parts.groupBy("key", "contact_size").agg(
+        F.min(CONTACT_POS).alias(CONTACT_POS)))
     in_contact = whole_wanted.join(first, "key")
 
     # Longer names: meet on the first characters of the shorter one.
@@ -151,10 +154,10 @@ def _inside(sides: _Sides) -> DataFrame:
             "key", F.col("name").alias("contact_name"), F.col("size").alias("contact_size"), CONTACT_POS
         )
 
-    long_wanted = windows(wanted).join(renamed(heads(contacts)), "key").where(
+    long_wanted = windows(wanted).join(sides.kept.table("heads", ["key"], lambda: renamed(heads(contacts))), "key").where(
         F.contains("name", "contact_name")
     )
-    long_contact = heads(wanted).join(renamed(windows(contacts)), "key").where(
+    long_contact = heads(wanted).join(sides.kept.table("windows", ["key"], lambda: renamed(windows(contacts))), "key").where(
         F.contains("contact_name", "name")
     )
     columns = ["name", "size", "contact_size", CONTACT_POS]
@@ -163,15 +166,15 @@ def _inside(sides: _Sides) -> DataFrame:
     return found.where(fits).withColumn("score", F.lit(INSIDE_SCORE)).select(*_SCORED)
 
 
-def _strict_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float) -> DataFrame:
+def _strict_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, kept: Fresh) -> DataFrame:
     """Best matches at a cutoff of at least 90."""
-    sides = _Sides(wanted, contacts, cutoff)
+    sides = _Sides(wanted, contacts, cutoff, kept)
     found = []
     if cutoff <= 100 * S.TOKEN_WEIGHT:
         found.append(_covered(sides))
     if cutoff <= INSIDE_SCORE:
         found.append(_inside(sides))
-    return sides.decided(found, [G.similar_pairs(sides.wanted, sides.contacts, sides.share)])
+    return sides.decided(found, [G.similar_pairs(sides.wanted, sides.contacts, sides.share, kept)])
 
 
 # --- cutoffs below 90 ------------------------------------------------------------------
@@ -200,60 +203,64 @@ def _shared_character_pairs(sides: _Sides) -> DataFrame:
     return pairs.withColumn("most", F.lit(100.0))
 
 
-def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float) -> DataFrame:
+def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, kept: Fresh) -> DataFrame:
     """Best matches below 90, for the names that found nothing better."""
-    sides = _Sides(wanted, contacts, cutoff)
+    sides = _Sides(wanted, contacts, cutoff, kept)
     if sides.share <= G.LOWEST_SHARE:
         return sides.decided([], [_shared_character_pairs(sides)])
     spread = _spread()
     far = (spread >= S.PARTIAL_FROM) & (spread <= S.FAR_FROM)
     windows = G.window_pairs(sides.wanted, sides.contacts, min(sides.share / S.PARTIAL_WEIGHT, 1.0), far, S.PARTIAL_WEIGHT)
-    similar = G.similar_pairs(sides.wanted, sides.contacts, sides.share)
+    similar = G.similar_pairs(sides.wanted, sides.contacts, sides.share, kept)
     return sides.decided([_covered(sides), _shared_token(sides)], [similar, windows])
 
 
 # --- operator --------------------------------------------------------------------------
 
 
-def best_contacts(registrants: DataFrame, contacts: DataFrame, score_cutoff: float = 90.0) -> DataFrame:
+def best_contacts(registrants: DataFrame, contacts: DataFrame | ContactIndex, score_cutoff: float = 90.0) -> DataFrame:
     """Best contact per distinct registrant name: ``name, score, contact_pos, matched``.
 
     ``contacts`` needs ``Name`` and ``contact_pos``.  Names without a match are absent.
     """
     cutoff = float(score_cutoff)
+    contacts, kept = contacts_of(contacts)
     filled = F.col("Name").isNotNull() & (F.col("Name") != "")
     wanted = registrants.where(filled).select(F.col("Name").alias("name")).distinct()
-    known = contacts.where(filled).groupBy(F.col("Name").alias("name")).agg(
-        F.min(CONTACT_POS).alias(CONTACT_POS)
-    )
+
+    def distinct_contacts() -> DataFrame:
+        return contacts.where(filled).groupBy(F.col("Name").alias("name")).agg(F.min(CONTACT_POS).alias(CONTACT_POS))
+
+    known = kept.table("known", ["name"], distinct_contacts, settle=cutoff < 100)
     score = F.lit(100.0).alias("score")
     if cutoff >= 100:
         equal = wanted.join(known, "name").select("name", score, CONTACT_POS, F.col("name").alias("matched"))
         return equal if cutoff == 100 else equal.where(F.lit(False))
-    known = settled(known)
     first = settled(wanted.join(known, "name", "left"))
     equal = first.where(F.col(CONTACT_POS).isNotNull()).select("name", score, CONTACT_POS, F.col("name").alias("matched"))
     rest = first.where(F.col(CONTACT_POS).isNull()).select("name")
-    strict = _strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM))
+    strict = _strict_matches(rest, known, max(cutoff, FULL_REASONS_FROM), kept)
     # The name comes from the same settled table as the position.
-    named = known.select(CONTACT_POS, F.col("name").alias("matched"))
+    named = kept.table("named", [CONTACT_POS], lambda: known.select(CONTACT_POS, F.col("name").alias("matched")))
     if cutoff >= FULL_REASONS_FROM:
         return equal.unionByName(strict.join(named, CONTACT_POS))
     strict = settled(strict)
     rest = settled(rest.join(strict, "name", "left_anti"))
-    loose = _loose_matches(rest, known, max(cutoff, K.SLACK))
+    loose = _loose_matches(rest, known, max(cutoff, K.SLACK), kept)
     return equal.unionByName(strict.unionByName(loose).join(named, CONTACT_POS))
 
 
-def fuzzy_match(registrants: DataFrame, contacts: DataFrame, score_cutoff: float = 90.0) -> DataFrame:
+def fuzzy_match(registrants: DataFrame, contacts: DataFrame | ContactIndex, score_cutoff: float = 90.0) -> DataFrame:
     """One row per registrant: the best contact by weighted ratio, or nulls below the cutoff.
 
+    For many registrant lists against the same contacts give a ``ContactIndex``.
+
     Output: ``Name registrant, Name fuzzy matched, Score, Index``, where
     ``Index`` is the ``contact_pos`` of the first contact with that name.
     """
     best = best_contacts(registrants, contacts, score_cutoff)
     if score_cutoff <= 0:
-        best = best.unionByName(_first_contact_for(registrants, contacts, best))
+        best = best.unionByName(_first_contact_for(registrants, contacts_of(contacts)[0], best))
     # A name may be held by many registrants: spread each over several tasks.
     salts = F.sequence(F.lit(0), F.lit(K.SALTS - 1))
     best = best.withColumn("_salt", F.explode(salts)).withColumnRenamed("name", "_name")

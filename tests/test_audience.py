@@ -4,7 +4,7 @@ import pytest
 
 from rosterlink import (
     build_contacts, classify_company, classify_position, enrich_audience, filter_audience, fuzzy_match,
-    match_counts, match_stats, normalize_congress,
+    match_counts, match_stats, normalize_congress, write_audience,
 )
 from rosterlink.operators.enrich import add_categories, attach_contacts
 
@@ -36,6 +36,18 @@ def test_stats(registrants, audience):
     assert tuple(match_counts(empty, audience.limit(0)).first()) == (0, 0, 0, 0.0, 0.0)
 
 
+def test_written_audience(spark, registrants, audience, tmp_path):
+    more = registrants.unionByName(registrants.where("Name LIKE 'INC%'")).unionByName(registrants.selectExpr("CAST(NULL AS STRING) AS Name", "Email").limit(1))
+    stats = write_audience(more, audience, str(tmp_path / "out"))
+    names = [r[0] for r in spark.read.parquet(str(tmp_path / "out/unmatched")).collect()]
+    assert names == ["INCONNU, Robert"]
+    assert stats == {k: v for k, v in match_stats(more, audience).items() if k != "unmatched_names"}
+    assert stats["n_registered"] == 6 and stats["n_matched"] == 3
+    assert sorted(spark.read.parquet(str(tmp_path / "out/audience")).collect()) == sorted(audience.collect())
+    nobody = write_audience(registrants.limit(0), audience.limit(0), str(tmp_path / "none"))
+    assert nobody["n_registered"] == nobody["pct_matched"] == 0
+
+
 def test_filter(audience):
     assert filter_audience(audience).count() == 3
     both = filter_audience(audience, ["Directeur", "Manager"], ["Assurance", "Réassurance"])

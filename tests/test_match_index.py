@@ -10,6 +10,7 @@ from test_match_exact import check, frames, people, twisted
 from rosterlink.operators import grams as G
 from rosterlink.operators import keys as K
 from rosterlink.operators import match as M
+from rosterlink.operators.index import ContactIndex, Fresh
 
 MANY = ["DE LA CRUZ VANDERMEULEN JEAN PAUL MARIE DU PONT X", "A B C D E F G H I J", "x" * 46, "ab " * 40, " ".join(f"T{i}" for i in range(40)),
         "DUPONT, Jean", "", " ", "é", "a  b", "word " * 200]
@@ -70,7 +71,7 @@ def test_scores_that_are_known_spare_candidates(spark):
     wanted = [" ".join(reversed(n.split())) for n in known[:60]]
     left, right = sides(spark, sorted(set(wanted) - set(known)), [])[0], sides(spark, [], known)[1]
     side = M._Sides.__new__(M._Sides)
-    side.wanted, side.contacts, side.cutoff, side.share = left, right, 75.0, 0.75
+    side.wanted, side.contacts, side.cutoff, side.share, side.kept = left, right, 75.0, 0.75, Fresh()
     found = M._best(M._covered(side))
     pairs = G.similar_pairs(left, right, 0.75)
     everything, spared = M.worth_scoring(pairs, None), M.worth_scoring(pairs, found)
@@ -79,3 +80,61 @@ def test_scores_that_are_known_spare_candidates(spark):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
     expected = scan(wanted, known, 75)
     assert {r["name"] for r in found.where("score >= 94.9").collect()} <= expected.keys()
+
+
+def exchanged_files(plan):
+    """Paths of the tables that are scanned below an exchange."""
+    found = set()
+
+    def walk(node, below):
+        name = node.nodeName()
+        if name.startswith(("Exchange", "BroadcastExchange")):
+            below = True
+        if below and name.startswith("Scan"):
+            found.add(node.toString())
+        for child in (node.children().apply(i) for i in range(node.children().size())):
+            walk(child, below)
+
+    walk(plan, False)
+    return found
+
+
+@pytest.mark.parametrize("cutoff", [95, 90, 80])
+def test_index_of_contacts_is_used_again(spark, cutoff):
+    rng = random.Random(cutoff)
+    known = people(rng, 60) + [None, "", " ", "Jean", "ab " * 30]
+    _, contacts = frames(spark, [], known)
+    index = ContactIndex(contacts, buckets=4)
+    tables = None
+    for _ in range(2):
+        wanted = twisted(rng, rng.choices(known[:60], k=40)) + [None, "", "Jean"]
+        registrants, _ = frames(spark, wanted, [])
+        rows = M.best_contacts(registrants, index, cutoff).collect()
+        got = {r["name"]: (round(r["score"], 6), r["contact_pos"]) for r in rows}
+        assert got == {n: (round(s, 6), p) for n, (s, p) in scan(wanted, known, cutoff).items()}
+        tables, before = dict(index._tables), tables
+    assert tables == before
+    index.drop()
+
+
+def test_second_match_does_not_exchange_the_indexed_keys(spark):
+    rng = random.Random(1)
+    known = people(rng, 60)
+    _, contacts = frames(spark, [], known)
+    index = ContactIndex(contacts, buckets=4)
+    registrants, _ = frames(spark, twisted(rng, known), [])
+    M.best_contacts(registrants, index, 90).count()
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        side = M._Sides(registrants.where("Name <> ''").selectExpr("Name AS name").distinct(), None, 90.0, index)
+        for found in (G.similar_pairs(side.wanted, side.contacts, 0.9, index), G.covered_pairs(side.wanted, side.contacts, 94.8, index)):
+            plan = found._jdf.queryExecution().executedPlan()
+            moved = exchanged_files(plan)
+            assert moved and not any(index.prefix in scan for scan in moved), moved
+            assert index.prefix in plan.toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    index.drop()
