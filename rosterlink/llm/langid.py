@@ -15,7 +15,8 @@ the excess times the root of the length, over the root of the text's length. Tex
 rejected.
 
 Training reads ``most_rows`` rows of a language at most, chosen by hash. Texts
-longer than a piece are scored piece by piece.
+longer than a piece are read piece by piece, each with the last characters of
+the one before as its context, so the size of a piece changes no result.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ UNKNOWN = "und"
 # Characters handled at once.
 _PIECE = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_LETTER = regex.compile(r"\p{L}")
 _LETTERS: list[np.ndarray] = []
 
 
@@ -70,6 +72,33 @@ def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
+def joined_characters(
+    pieces: list[str], owners: list[int], before: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, offsets and the places of real characters; a piece goes on where its owner's piece before it ended."""
+    codes, offsets = characters(pieces)
+    real, pad = np.flatnonzero(codes != 1), ORDER - 1
+    if before is not None:
+        codes[:pad] = before
+    for i in range(1, len(pieces)):
+        if owners[i] == owners[i - 1]:
+            codes[offsets[i]: offsets[i] + pad] = codes[offsets[i] - pad: offsets[i]]
+    return codes, offsets, real
+
+
+def _cut(text: str) -> Iterator[str]:
+    """Pieces of a text; all but the first begin with a letter, so that no run of others is split."""
+    at = 0
+    # Letters at an end look ahead when lower-cased, so that is done before.
+    text = text if len(text) <= _PIECE else text.lower()
+    while at < len(text) or not at:
+        found = _LETTER.search(text, at + _PIECE) if at + _PIECE < len(text) else None
+        end = found.start() if found else len(text)
+        # The first of a run of other characters stands for all.
+        yield text[at: min(end, at + _PIECE + 1)]
+        at = max(end, 1)
+
+
 def gram_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` codes that end at each place; the first places lack some."""
     out = np.zeros(len(codes), np.uint64)
@@ -111,16 +140,17 @@ class Models:
         out[open_rows] += self.nothing
         return out
 
-    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Bits for each text and language, and the number of characters."""
-        codes, offsets = characters(texts)
-        sums, counts = np.zeros((len(texts), len(self.languages))), np.diff(offsets) - (ORDER - 1)
-        real = np.flatnonzero(codes != 1)
+    def entropies(
+        self, pieces: list[str], owners: list[int], before: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bits for each piece and language, the number of characters, and the context that is left behind."""
+        codes, offsets, real = joined_characters(pieces, owners, before)
+        sums, counts = np.zeros((len(pieces), len(self.languages))), np.diff(offsets) - (ORDER - 1)
         owner = np.searchsorted(offsets, real, "right") - 1
         logs = self.log_chances(codes, real)
         for k in range(len(self.languages)):
-            sums[:, k] = np.bincount(owner, -logs[:, k], len(texts))
-        return sums, counts
+            sums[:, k] = np.bincount(owner, -logs[:, k], len(pieces))
+        return sums, counts, codes[len(codes) - (ORDER - 1):]
 
 
 def _lookup(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,8 +226,8 @@ def _text_lists(column: pa.Array) -> Iterator[tuple[int, int, list[str], list[in
         pieces, owners = [], []
         for i in range(low, high):
             text = data[offsets[i]: offsets[i + 1]].tobytes().decode("utf-8", "replace")
-            for at in range(0, max(len(text), 1), _PIECE):
-                pieces.append(text[at: at + _PIECE])
+            for piece in _cut(text):
+                pieces.append(piece)
                 owners.append(i - low)
         yield low, high, pieces, owners
         low = high
@@ -205,9 +235,10 @@ def _text_lists(column: pa.Array) -> Iterator[tuple[int, int, list[str], list[in
 
 def _row_entropies(models: Models, count: int, pieces: list[str], owners: list[int]) -> tuple[np.ndarray, np.ndarray]:
     sums, sizes = np.zeros((count, len(models.languages))), np.zeros(count, np.int64)
-    step = 1 if len(pieces) > count else len(pieces)
+    step, left = 1 if len(pieces) > count else len(pieces), None
     for at in range(0, len(pieces), max(step, 1)):
-        part, size = models.entropies(pieces[at: at + step])
+        before = left if at and owners[at] == owners[at - 1] else None
+        part, size, left = models.entropies(pieces[at: at + step], owners[at: at + step], before)
         np.add.at(sums, owners[at: at + step], part)
         np.add.at(sizes, owners[at: at + step], size)
     return sums, sizes
@@ -228,10 +259,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
             langs = np.array(batch.column(1).to_pylist(), object)
             for name in sorted(set(langs)):
                 texts = batch.column(0).take(pa.array(np.flatnonzero(langs == name)))
-                for _, _, pieces, _ in _text_lists(texts):
-                    codes, offsets = characters(pieces)
+                for _, _, pieces, owners in _text_lists(texts):
+                    codes, _, real = joined_characters(pieces, owners)
                     values = gram_hashes(codes, ORDER)
-                    real = np.flatnonzero(codes != 1)
                     _, first, seen = np.unique(values[real], return_index=True, return_counts=True)
                     ends = real[first]
                     grams = np.stack([codes[ends - back] for back in range(ORDER - 1, -1, -1)], axis=1)
