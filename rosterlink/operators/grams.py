@@ -22,7 +22,8 @@ bit, which also bounds the score of a pair from above.
 
 from __future__ import annotations
 
-from math import floor
+import json
+from math import ceil, comb, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ SLACK = 1e-9
 KINDS = 4096
 # Most first grams of which each two are a key (276 keys).
 MOST_PAIRED = 24
+# Most keys of a text among those that name the lengths of both texts.
+MOST_KEYS = 276
 # Lowest share for which similar texts are sure to have a gram in common.
 LOWEST_SHARE = 2 / 3
 
@@ -126,36 +129,114 @@ def paired_lengths(share: float) -> tuple[int, int]:
     return short, long
 
 
-def items(names: DataFrame) -> DataFrame:
-    """The texts under which a name is compared: adds ``item`` and its length ``n``.
-
-    Sorted tokens, and, where they have other grams, the name as it stands
-    and the distinct tokens.
-    """
+def item_texts() -> Column:
+    """The texts under which a name is compared: sorted tokens and, where they have other grams, the name as it stands and the distinct tokens."""
     words = F.array_join("words", " ")
     # The name's own grams are those of its sorted tokens if single blanks part them.
     regular = F.regexp_replace("name", WHITESPACE_CLASS + "+", " ") == F.col("name")
     regular = regular & ~F.startswith(F.col("name"), F.lit(" ")) & ~F.endswith(F.col("name"), F.lit(" "))
-    texts = F.array_distinct(F.array(words, F.when(regular, words).otherwise(F.col("name")), F.col("flat")))
-    return names.withColumn("item", F.explode(texts)).withColumn("n", F.char_length("item"))
+    return F.array_distinct(F.array(words, F.when(regular, words).otherwise(F.col("name")), F.col("flat")))
+
+
+def items(names: DataFrame) -> DataFrame:
+    """Adds each ``item`` of ``item_texts`` and its length ``n``."""
+    return names.withColumn("item", F.explode(item_texts())).withColumn("n", F.char_length("item"))
+
+
+def gram_bits(grams: Column) -> Column:
+    """Two words with a bit for each of 128 kinds of ``grams``: a set that does not depend on their order."""
+    def word(low: int) -> Column:
+        return F.aggregate(grams, F.lit(0).cast("bigint"), lambda word, g: let(
+            F.pmod(F.xxhash64(F.lit("bit"), g), F.lit(128)).cast("int") - low, lambda b: F.when(
+                (b >= 0) & (b < 64), word.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), b))).otherwise(word)))
+
+    return F.array(word(0), word(64))
+
+
+def _missing_grams(left: str, right: str) -> Column:
+    """Kinds of grams of one text that the other lacks."""
+    return missing(F.col(left)[0], F.col(right)[0]) + missing(F.col(left)[1], F.col(right)[1])
+
+
+def edits_of(share: float, n: int, m: int) -> int:
+    """Most edits between texts of ``n`` and ``m`` characters at ``share``; they have the parity of ``n - m``."""
+    most = floor((1 - share) * (n + m) + SLACK)
+    return most - (most - n + m) % 2
 
 
-def similar_keys(names: DataFrame, share: float, order: Order) -> DataFrame:
-    """One row per key of each name: adds ``key``, ``n``, ``bag`` and what the pair's level is told by."""
+def _first_of(share: float, n: int, m: int) -> tuple[int, int]:
+    """How many first grams of a text of ``n`` characters meet those of ``m``, and how many they have in common."""
+    edits = edits_of(share, n, m)
+    if edits < abs(n - m):
+        return 0, 0
+    lost = edits + (edits + n - m) // 2
+    common = min(2, n + 1 - lost)
+    return lost + common, common
+
+
+def _partner_lengths(share: float, n: int) -> range:
+    return range(ceil(n * share / (2 - share) - SLACK), floor(n * (2 - share) / share + SLACK) + 1)
+
+
+def told_lengths(share: float) -> int:
+    """Greatest length up to which keys name the lengths of both texts, so that a text has ``MOST_KEYS`` keys at most."""
+    short, long = paired_lengths(share)
+
+    def untold(n: int) -> int:
+        lost, partners = floor(n * _most_lost(share) + SLACK), _partner_lengths(share, n)
+        own = short <= n <= long
+        alone = own and short <= partners[0] and partners[-1] <= long
+        return (0 if alone else lost + 1) + (comb(lost + 2, 2) if own else 0)
+
+    def keys(n: int, told: int) -> int:
+        partners = _partner_lengths(share, n)
+        firsts = [_first_of(share, n, m) for m in partners if m <= told]
+        return sum(comb(*f) for f in firsts if f[1]) + (untold(n) if partners[-1] > told else 0)
+
+    told = 0
+    while all(keys(n, told + 1) <= MOST_KEYS for n in range(told + 2)):
+        told += 1
+    return told
+
+
+def similar_keys(names: DataFrame, share: float, order: Order, mirrored: bool = False) -> DataFrame:
+    """One row per key of each name: adds ``key``, ``n``, ``bag``, ``grams`` and what the pair's level is told by.
+
+    Keys of level 3 name the lengths of both texts, the own one first or,
+    ``mirrored``, second: known lengths leave fewer first grams. Levels 1 and 2
+    are for pairs with a text too long for that.
+    """
     short, long = paired_lengths(share)
+    told = told_lengths(share)
     n = F.col("n")
-    listed = items(names).withColumn("_first", order.numbered(padded_grams(F.col("item")))).withColumn("bag", bag(F.col("item")))
+    texts = items(names).withColumn("_grams", padded_grams(F.col("item")))
+    listed = texts.withColumn("_first", F.transform(order.numbered(F.col("_grams")), lambda g: F.xxhash64(g))).withColumn(
+        "bag", bag(F.col("item"))).withColumn("grams", gram_bits(F.col("_grams")))
     lost = _floor(n * _most_lost(share))
     own = (n >= short) & (n <= long)
+    none = F.array().cast("array<bigint>")
     # Partners can be this short or long.
     least, most = F.ceil(n * share / (2 - share) - SLACK), F.floor(n * (2 - share) / share + SLACK)
-    single = F.when(own & (least >= short) & (most <= long), F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.slice(F.col("_first"), F.lit(1), lost + 1), lambda g: F.xxhash64(g)))
-    double = F.when(own, each_two(F.slice(F.col("_first"), F.lit(1), lost + 2))).otherwise(F.array().cast("array<bigint>"))
-    keys = F.concat(F.transform(single, lambda k: F.struct(F.lit(1).alias("level"), k.alias("key"))),
-                    F.transform(double, lambda k: F.struct(F.lit(2).alias("level"), k.alias("key"))))
+    single = F.when(own & (least >= short) & (most <= long), none).otherwise(F.slice(F.col("_first"), F.lit(1), lost + 1))
+    double = F.when(own, each_two(F.slice(F.col("_first"), F.lit(1), lost + 2))).otherwise(none)
+    untold = most > told
+    # For each length: the partner's, how many first grams to take, how many to join to a key.
+    steps = [[(m, *_first_of(share, length, m)) for m in _partner_lengths(share, length) if m <= told] for length in range(told + 1)]
+    steps = F.from_json(F.lit(json.dumps([[{"m": m, "take": t, "of": k} for m, t, k in row if k] for row in steps])),
+                        "array<array<struct<m: int, take: int, of: int>>>")
+
+    def told_keys(step: Column) -> Column:
+        lengths = (step["m"], n) if mirrored else (n, step["m"])
+        taken = F.slice(F.col("_first"), F.lit(1), step["take"])
+        grams = F.when(step["of"] == 2, each_two(taken)).otherwise(taken)
+        return F.transform(grams, lambda g: F.xxhash64(*lengths, g))
+
+    exact = F.when(n <= told, F.flatten(F.transform(F.get(steps, n), told_keys))).otherwise(none)
+    keys = F.concat(F.transform(F.when(untold, single).otherwise(none), lambda k: F.struct(F.lit(1).alias("level"), k.alias("key"))),
+                    F.transform(F.when(untold, double).otherwise(none), lambda k: F.struct(F.lit(2).alias("level"), k.alias("key"))),
+                    F.transform(exact, lambda k: F.struct(F.lit(3).alias("level"), k.alias("key"))))
     listed = listed.withColumn("own_level", F.when(own, 2).otherwise(1)).withColumn("_key", F.explode(keys))
-    return listed.select(*[c for c in ("name", "contact_pos") if c in names.columns], "n", "bag", "own_level",
+    return listed.select(*[c for c in ("name", "contact_pos") if c in names.columns], "n", "bag", "grams", "own_level",
                          F.col("_key.level").alias("level"), F.col("_key.key").alias("key"))
 
 
@@ -164,16 +245,21 @@ def similar_pairs(wanted: DataFrame, contacts: DataFrame, share: float, kept: Fr
     kept = kept or Fresh()
     order = kept.order("grams", lambda: Order(contacts.select(padded_grams(F.array_join("words", " ")))))
     left = similar_keys(wanted, share, order)
-    right = kept.table(f"similar {share}", ["level", "key"], lambda: similar_keys(contacts, share, order)).withColumnsRenamed(
-        {"name": "contact_name", "n": "m", "bag": "contact_bag", "own_level": "contact_level"})
-    met = left.join(right, ["level", "key"])
+    right = kept.table(f"similar {share}", ["level", "key"], lambda: similar_keys(contacts, share, order, mirrored=True)).withColumnsRenamed(
+        {"name": "contact_name", "n": "m", "bag": "contact_bag", "grams": "contact_grams", "own_level": "contact_level"})
+    # Keys are many times larger than the names from which a plan would guess their size: no side is broadcast.
+    met = left.hint("merge").join(right, ["level", "key"])
     n, m = F.col("n"), F.col("m")
     edits = (1 - share) * (n + m) + SLACK
     gone, come = missing(F.col("bag"), F.col("contact_bag")), missing(F.col("contact_bag"), F.col("bag"))
-    fits = (F.col("level") == F.least("own_level", "contact_level")) & (F.abs(n - m) <= edits)
+    # A removal spoils two grams, an insertion one.
+    spoilt, new = _missing_grams("grams", "contact_grams"), _missing_grams("contact_grams", "grams")
+    level = F.least("own_level", "contact_level")
+    fits = (F.col("level") == F.when(F.greatest(n, m) <= told_lengths(share), 3).otherwise(level)) & (F.abs(n - m) <= edits)
     fits = fits & (2 * gone <= edits + n - m) & (2 * come <= edits + m - n)
+    fits = fits & (2 * spoilt <= 3 * edits + n - m) & (2 * new <= 3 * edits + m - n)
     # Edits needed at least: removals and insertions also have to make up for the lengths.
-    least = F.greatest(2 * gone - n + m, 2 * come + n - m)
+    least = F.greatest(2 * gone - n + m, 2 * come + n - m, (2 * spoilt - n + m) / 3, (2 * new + n - m) / 3)
     total = n + m
     most = F.when(total > 0, (F.lit(1.0) - least / total) * 100.0).otherwise(100.0)
     return met.where(fits).select("name", "contact_name", "contact_pos", most.alias("most"))

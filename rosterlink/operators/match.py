@@ -32,6 +32,7 @@ from ..functions import similarity as S
 from ..store import settled
 from . import grams as G
 from . import keys as K
+from . import scan
 from .index import ContactIndex, Fresh, contacts_of
 from .normalize import CONTACT_POS
 
@@ -174,7 +175,11 @@ def _strict_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, kept:
         found.append(_covered(sides))
     if cutoff <= INSIDE_SCORE:
         found.append(_inside(sides))
-    return sides.decided(found, [G.similar_pairs(sides.wanted, sides.contacts, sides.share, kept)])
+    if scan.few_enough(sides.wanted, sides.contacts):
+        similar = scan.scanned_pairs(sides.wanted, sides.contacts, sides.share, kept=kept)
+    else:
+        similar = G.similar_pairs(sides.wanted, sides.contacts, sides.share, kept)
+    return sides.decided(found, [similar])
 
 
 # --- cutoffs below 90 ------------------------------------------------------------------
@@ -208,11 +213,15 @@ def _loose_matches(wanted: DataFrame, contacts: DataFrame, cutoff: float, kept:
     sides = _Sides(wanted, contacts, cutoff, kept)
     if sides.share <= G.LOWEST_SHARE:
         return sides.decided([], [_shared_character_pairs(sides)])
+    found = [_covered(sides), _shared_token(sides)]
+    window = min(sides.share / S.PARTIAL_WEIGHT, 1.0)
+    if scan.few_enough(sides.wanted, sides.contacts):
+        return sides.decided(found, [scan.scanned_pairs(sides.wanted, sides.contacts, sides.share, window, kept)])
     spread = _spread()
     far = (spread >= S.PARTIAL_FROM) & (spread <= S.FAR_FROM)
-    windows = G.window_pairs(sides.wanted, sides.contacts, min(sides.share / S.PARTIAL_WEIGHT, 1.0), far, S.PARTIAL_WEIGHT)
+    windows = G.window_pairs(sides.wanted, sides.contacts, window, far, S.PARTIAL_WEIGHT)
     similar = G.similar_pairs(sides.wanted, sides.contacts, sides.share, kept)
-    return sides.decided([_covered(sides), _shared_token(sides)], [similar, windows])
+    return sides.decided(found, [similar, windows])
 
 
 # --- operator --------------------------------------------------------------------------
