@@ -10,7 +10,7 @@ distinct words and a row of word numbers. Then
    of the other shards is bounded, so of those united the ones that cannot
    reach ``min_count`` even with that are dropped at once;
 3. every shard counts the candidates, by their words and exactly, and the
-   counts are summed.
+   counts are summed by parts of the phrases.
 
 Steps 1 and 2 know phrases by a hash key, which can only let too many through.
 Keys are dealt into ranges whose number grows with the input, so each task
@@ -19,6 +19,10 @@ phrases and is sent back only those of its own that are candidates; fewer than
 ``min_count`` shards of a language can have a higher one, and only these are
 sent the candidates of their language.
 
+A shard lists nearly as many phrases as it has words, so what is shuffled is
+packed: keys as the steps between them, phrases in order, where neighbours
+begin alike.
+
 Then the scores: every cut of a candidate into two parts is compared with what
 the parts' own counts make likely. All arithmetic is exact decimal (counts
 below 10^15).
@@ -43,10 +47,10 @@ from .words import mix, ragged, span_hashes, text_buffers
 SHARD_BYTES = 6 << 20
 #: Bytes of text that a task holds of all languages before it closes the largest shard.
 HELD_BYTES = 16 << 20
-#: Words of input for each range of keys.
-RANGE_WORDS = 1 << 19
-#: Bits of a key besides its range: some million strangers meet in sixteen million places.
-_KEY_BITS = 24
+#: Words of input for each range of keys; more ranges would leave few keys of a shard in each.
+RANGE_WORDS = 1 << 21
+#: Bits of a key besides its range: two to four places for each word of the input.
+_KEY_BITS = 22
 
 _U = np.uint64
 _SPACES, _BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -87,14 +91,36 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return out
 
 
+#: Numbers below take one byte, those below the second limit two, others five.
+_ONE, _TWO = 192, 192 + (63 << 8)
+
+
 def _packed(values: np.ndarray) -> bytes:
-    """Numbers of 32 bits, all their lowest bytes first."""
-    return zlib.compress(np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    """Numbers modulo 2^32; their first, second and further bytes are packed one after another."""
+    values = values.astype(np.int64) & 0xFFFFFFFF
+    far = values >= _TWO
+    two = values[(values >= _ONE) & ~far] - _ONE
+    first = np.where(far, 255, np.where(values < _ONE, values, _ONE + (values - _ONE >> 8)))
+    streams = [first, two & 255, *(values[far] >> 8 * k & 255 for k in range(4))]
+    out = []
+    for stream in streams:
+        packer = zlib.compressobj(1, zlib.DEFLATED, -15, 9, zlib.Z_RLE)
+        out += packer.compress(stream.astype(np.uint8).tobytes()), packer.flush()
+    return b"".join(out)
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+    streams = []
+    for _ in range(6):
+        packer = zlib.decompressobj(-15)
+        streams.append(np.frombuffer(packer.decompress(blob) + packer.flush(), np.uint8).astype(np.int64))
+        blob = packer.unused_data
+    values = streams[0]
+    far = values == 255
+    two = (values >= _ONE) & ~far
+    values[two] = (values[two] - _ONE << 8) + streams[1] + _ONE
+    values[far] = sum(stream << 8 * k for k, stream in enumerate(streams[2:]))
+    return values
 
 
 def _key_bytes(keys: np.ndarray) -> bytes:
@@ -107,24 +133,38 @@ def _keys_of(blob: bytes) -> np.ndarray:
     return wide.view("<u4").ravel()
 
 
+def _steps(keys: np.ndarray) -> bytes:
+    """Keys in ascending runs, packed as the steps from one to the next."""
+    return _packed(np.diff(keys.astype(np.int64), prepend=0))
+
+
+def _stepped(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(blob)) & 0xFFFFFFFF
+
+
 SHARDS = "shard bigint, lang string, n_words bigint, words binary, lengths binary, numbers binary"
 _SHARDS = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.binary()), ("lengths", pa.binary()), ("numbers", pa.binary())])
 
 
+def _strings(text: bytes, ends: np.ndarray) -> pa.LargeStringArray:
+    return pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(text))
+
+
 def _shard(texts: list[pa.Array]) -> tuple[int, bytes, bytes, bytes]:
-    """Number of words; the distinct words, the length of each, and the word numbers with -1 before each piece."""
+    """Number of words; the distinct words, the length of each, and the word numbers from 1, with 0 before each piece."""
     data, offsets = text_buffers(pa.chunked_array(texts, pa.large_string()))
     data = _LOWER[data]
     starts, ends, first = _words(data, offsets)
     _, at, numbers, times = np.unique(_hashes(data, starts, ends), return_index=True, return_inverse=True, return_counts=True)
-    # Frequent words get small numbers, which pack well.
-    order = np.argsort(-times, kind="stable")
+    # Frequent words get small numbers, which pack well, as do equally frequent ones in order.
+    spelt = _strings(data[ragged(starts[at], ends[at] - starts[at])].tobytes(), np.cumsum(ends[at] - starts[at]))
+    order = pc.sort_indices(pa.table({"times": times, "word": spelt}), [("times", "descending"), ("word", "ascending")]).to_numpy()
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     at, numbers = at[order], place[numbers]
     lengths = ends[at] - starts[at]
     words = data[ragged(starts[at], lengths)]
-    row = np.insert(numbers.astype(np.int32), np.flatnonzero(first), -1)
+    row = np.insert(numbers.astype(np.int32) + 1, np.flatnonzero(first), 0)
     return len(starts), zlib.compress(words.tobytes(), 1), _packed(lengths), _packed(row)
 
 
@@ -172,12 +212,12 @@ class _Shard:
 
     def __init__(self, words: bytes, lengths: bytes, numbers: bytes):
         self.text, self.ends = zlib.decompress(words), np.cumsum(_unpacked(lengths), dtype=np.int64)
-        row = _unpacked(numbers)
+        row = _unpacked(numbers) - 1
         self.numbers = row[row >= 0]
         piece = np.cumsum(row < 0)[row >= 0]
         starts = np.concatenate([[0], self.ends[:-1]]) if len(self.ends) else self.ends
         hashes = _hashes(np.frombuffer(self.text, np.uint8), starts, self.ends)
-        self.hashes, self.piece, self.starts = hashes[self.numbers], piece, starts
+        self.hashes, self.piece = hashes[self.numbers], piece
 
     def places(self, size: int) -> np.ndarray:
         count = max(len(self.numbers) - size + 1, 0)
@@ -189,8 +229,13 @@ class _Shard:
             out = mix(out * _U(0x9E3779B97F4A7C15) + self.hashes[places + k])
         return out
 
-    def word(self, number: int) -> str:
-        return self.text[self.starts[number]: self.ends[number]].decode("utf-8", "replace")
+    def phrases(self, places: np.ndarray, size: int) -> pa.LargeStringArray:
+        words = _strings(self.text, self.ends)
+        return _joined([words.take(pa.array(self.numbers[places + k])) for k in range(size)], " ")
+
+
+def _joined(columns: list[pa.LargeStringArray], between: str) -> pa.LargeStringArray:
+    return pc.binary_join_element_wise(*columns, pa.scalar(between, pa.large_string()))
 
 
 MINED = "lang string, `range` int, shard bigint, support bigint, keys binary, repeated binary, counts binary"
@@ -241,6 +286,17 @@ def _miner(longest: int, bits: int):
     return run
 
 
+def _with_steps(miner):
+    """The miner's rows with their keys packed, as they are shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in miner(batches):
+            columns = dict(zip(batch.schema.names, batch.columns))
+            columns["keys"] = pa.array([_steps(_keys_of(k)) for k in batch.column("keys").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=_MINED)
+
+    return run
+
+
 UNITED = "lang string, shard bigint, `range` int, keys binary"
 _UNITED = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("range", pa.int32()), ("keys", pa.binary())])
 #: Stands for all shards of a language that have a support above 1.
@@ -250,7 +306,7 @@ _EVERY = -1
 def _uniter(least: int):
     def unite(table: pa.Table) -> pa.Table:
         """Of the phrases of one range and language, those that may be frequent: for the shards that listed them all, and once more."""
-        keys = [_keys_of(k) for k in table["keys"].to_pylist()]
+        keys = [_stepped(k) for k in table["keys"].to_pylist()]
         counts = []
         for own, repeated, times in zip(keys, table["repeated"].to_pylist(), table["counts"].to_pylist()):
             count = np.ones(len(own), np.int64)
@@ -265,52 +321,86 @@ def _uniter(least: int):
         np.subtract.at(hidden, at, np.repeat(support - 1, [len(k) for k in keys]))
         fits = listed + hidden >= least
         lang, part = table["lang"][0].as_py(), table["range"][0].as_py()
-        rows = [(lang, _EVERY, part, _key_bytes(merged[fits]))] if table["hidden"][0].as_py() else []
+        rows = [(lang, _EVERY, part, _steps(merged[fits]))] if table["hidden"][0].as_py() else []
         ends = np.cumsum([len(k) for k in keys])
         for shard, low, own, end in zip(table["shard"].to_pylist(), support, keys, ends):
             chosen = own[fits[at[end - len(own): end]]]
             if low == 1 and len(chosen):
-                rows.append((lang, shard, part, _key_bytes(np.sort(chosen))))
+                rows.append((lang, shard, part, _steps(np.sort(chosen))))
         columns = list(zip(*rows)) if rows else [[]] * 4
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _UNITED)], schema=_UNITED)
 
     return unite
 
 
-FOUND = "lang string, phrase string, size int, n bigint"
-_FOUND = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64())])
+PARTS = "lang string, part int, phrases binary, counts binary"
+_PARTS = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("phrases", pa.binary()), ("counts", pa.binary())])
 
 
 def _counter(longest: int, bits: int):
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Exact counts in one shard of the phrases whose keys it was sent."""
-        rows: list[pa.Table] = []
-        if left.num_rows and right.num_rows:
-            wanted = np.sort(np.concatenate([
-                _keys_of(k).astype(np.uint64) + (_U(r) << _U(_KEY_BITS))
-                for r, k in zip(right["range"].to_pylist(), right["keys"].to_pylist())]))
-            lang = left["lang"][0].as_py()
-            own = _Shard(left["words"][0].as_py(), left["lengths"][0].as_py(), left["numbers"][0].as_py())
-            for size in range(1, longest + 1):
-                places = own.places(size)
-                keys = own.keys(places, size) >> _U(64 - bits - _KEY_BITS)
-                if not len(wanted) or not len(keys):
-                    continue
-                at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-                places = places[wanted[at] == keys]
-                # Word numbers tell phrases apart without a doubt.
-                code = np.zeros(len(places), np.int64)
-                for k in range(size):
-                    _, code = np.unique(code * (len(own.ends) + 1) + own.numbers[places + k], return_inverse=True)
-                _, first, times = np.unique(code, return_index=True, return_counts=True)
-                phrases = [" ".join(own.word(n) for n in own.numbers[p: p + size]) for p in places[first]]
-                rows.append(pa.table([pa.array([lang] * len(times), pa.string()), pa.array(phrases, pa.string()),
-                                      pa.array(np.full(len(times), size, np.int32)), pa.array(times.astype(np.int64))], schema=_FOUND))
-        return pa.concat_tables(rows) if rows else _FOUND.empty_table()
+        """Exact counts in one shard of the phrases whose keys it was sent, those of a part in order and packed."""
+        if not left.num_rows or not right.num_rows:
+            return _PARTS.empty_table()
+        wanted = np.sort(np.concatenate([
+            _stepped(k).astype(np.uint64) + (_U(r) << _U(_KEY_BITS))
+            for r, k in zip(right["range"].to_pylist(), right["keys"].to_pylist())]))
+        own = _Shard(left["words"][0].as_py(), left["lengths"][0].as_py(), left["numbers"][0].as_py())
+        found = []
+        for size in range(1, longest + 1):
+            places = own.places(size)
+            keys = own.keys(places, size) >> _U(64 - bits - _KEY_BITS)
+            if not len(wanted):
+                continue
+            at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+            places = places[wanted[at] == keys]
+            if not len(places):
+                continue
+            # Word numbers tell phrases apart without a doubt.
+            code = np.zeros(len(places), np.int64)
+            for k in range(size):
+                _, code = np.unique(code * (len(own.ends) + 1) + own.numbers[places + k], return_inverse=True)
+            _, first, times = np.unique(code, return_index=True, return_counts=True)
+            places = places[first]
+            # A part holds all that begins with the same two words: many neighbours, and no word makes one part large.
+            parts = own.keys(places, min(size, 2)) >> _U(64 - max(bits - 1, 1))
+            found.append(pa.table({"part": parts.astype(np.int32), "phrase": own.phrases(places, size), "n": times}))
+        if not found:
+            return _PARTS.empty_table()
+        table = pa.concat_tables(found).sort_by([("part", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        data, ends = text_buffers(_joined([table["phrase"], pa.scalar("", pa.large_string())], "\n"))
+        parts, starts = np.unique(table["part"].to_numpy(), return_index=True)
+        edges, times = np.append(starts, table.num_rows), table["n"].to_numpy()
+        return pa.table([
+            pa.array([left["lang"][0].as_py()] * len(parts), pa.string()), pa.array(parts, pa.int32()),
+            pa.array([zlib.compress(data[ends[a]: ends[b]], 1) for a, b in zip(edges, edges[1:])], pa.binary()),
+            pa.array([_packed(times[a:b]) for a, b in zip(edges, edges[1:])], pa.binary())], schema=_PARTS)
 
     return count
 
 
+FOUND = "lang string, phrase string, size int, n bigint"
+_FOUND = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64())])
+
+
+def _summer(least: int):
+    def total(table: pa.Table) -> pa.Table:
+        """The phrases of one part that are frequent in all shards together."""
+        phrases = []
+        for blob in table["phrases"].to_pylist():
+            lines = zlib.decompress(blob)
+            phrases.append(_strings(lines, np.flatnonzero(np.frombuffer(lines, np.uint8) == 10) + 1))
+        times = np.concatenate([_unpacked(c) for c in table["counts"].to_pylist()])
+        summed = pa.table({"line": pa.chunked_array(phrases), "n": times}).group_by("line", use_threads=False).aggregate([("n", "sum")])
+        summed = summed.filter(pc.greater_equal(summed["n_sum"], least))
+        phrase = pc.utf8_rtrim(summed["line"], "\n")
+        size = pc.add(pc.count_substring(phrase, " "), 1)
+        lang = pa.array([table["lang"][0].as_py()] * len(phrase), pa.string())
+        return pa.table([lang, phrase.cast(pa.string()), size.cast(pa.int32()), summed["n_sum"]], schema=_FOUND)
+
+    return total
+
+
 # --- operators ------------------------------------------------------------------------
 
 
@@ -332,16 +422,16 @@ def frequent_phrases(docs: DataFrame, min_count: int = 10, longest: int = 3, sha
     support = F.greatest(F.ceil(share / F.greatest(F.col("n"), F.lit(1))).cast("long"), F.lit(1))
     weighed = shards.join(words, "lang").withColumn("support", support)
     hidden = settled(weighed.groupBy("lang").agg(F.sum(F.col("support") - 1).alias("hidden")))
-    mined = weighed.select("shard", "lang", "support", "words", "lengths", "numbers").mapInArrow(_miner(longest, bits), MINED)
+    mined = weighed.select("shard", "lang", "support", "words", "lengths", "numbers").mapInArrow(
+        _with_steps(_miner(longest, bits)), MINED)
     # Written, so that what was shuffled for it can go before the shards are shuffled.
     united = settled(mined.join(hidden, "lang").groupBy("lang", "range").applyInArrow(_uniter(min_count), UNITED))
     high = settled(weighed.where("support > 1").groupBy("lang").agg(F.collect_list("shard").alias("high")))
     to = F.when(F.col("shard") == _EVERY, F.coalesce("high", F.array().cast("array<bigint>"))).otherwise(F.array("shard"))
     sent = united.join(high, "lang", "left").select(F.explode(to).alias("shard"), "range", "keys")
     found = shards.select("shard", "lang", "words", "lengths", "numbers").groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(
-        _counter(longest, bits), FOUND)
-    counts = found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    return settled(counts), words
+        _counter(longest, bits), PARTS)
+    return settled(found.groupBy("lang", "part").applyInArrow(_summer(min_count), FOUND)), words
 
 
 def collocations(docs: DataFrame, min_count: int = 10, longest: int = 3, covered_percent: int = 50, most: int | None = 2000,
@@ -358,18 +448,18 @@ def collocations(docs: DataFrame, min_count: int = 10, longest: int = 3, covered
     """
     counts, words = frequent_phrases(docs, min_count, longest, shard_bytes)
     phrases = counts.where("size > 1").withColumn("words", F.split("phrase", " "))
-    cut = phrases.select("lang", "phrase", "size", F.col("n").alias("a"), "words",
-                         F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"))
-    cut = cut.select("lang", "phrase", "size", "a", "cut", F.expr("array_join(slice(words, 1, cut), ' ')").alias("left"),
-                     F.expr("array_join(slice(words, cut + 1, size), ' ')").alias("right"))
+    cut = phrases.select("lang", "phrase", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"))
+    cut = cut.withColumn("left", F.expr("substring_index(phrase, ' ', cut)"))
     known = counts.select("lang", F.col("phrase").alias("part"), F.col("n").alias("times"))
-    sides = cut.join(known.withColumnsRenamed({"part": "left", "times": "l"}), ["lang", "left"]).join(
-        known.withColumnsRenamed({"part": "right", "times": "r"}), ["lang", "right"])
+    # The right part is made after the first join, so that less is shuffled for it.
+    sides = cut.join(known.withColumnsRenamed({"part": "left", "times": "l"}), ["lang", "left"]).select(
+        "lang", "phrase", "a", "cut", "l", F.expr("substring(phrase, length(left) + 2)").alias("right"))
+    sides = sides.join(known.withColumnsRenamed({"part": "right", "times": "r"}), ["lang", "right"])
     whole = {c: F.col(c).cast("decimal(15,0)") for c in ("a", "l", "r")}
     above, below = whole["a"] * whole["a"] * F.lit(1_000_000).cast("decimal(7,0)"), whole["l"] * whole["r"]
     sides = sides.withColumn("above", above.cast("decimal(38,0)")).withColumn("below", below.cast("decimal(38,0)"))
     scored = sides.withColumn("score", F.expr("above div below"))
-    lowest = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "cut", "a", "l", "r", "size")).alias("low")).select("lang", "phrase", "low.*")
+    lowest = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "cut", "a", "l", "r")).alias("low")).select("lang", "phrase", "low.*")
 
     # Every shorter run of words within a candidate, with the candidate's count.
     inner = phrases.where("size > 2").select("lang", "size", "words", F.col("n").alias("longer"),

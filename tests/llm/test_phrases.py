@@ -79,3 +79,55 @@ def test_no_documents(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert phrases.collocations(docs).count() == 0
     assert phrases.collocations(spark.createDataFrame([(1, None, "en", "", 1, "")], SCHEMA)).count() == 0
+
+
+def drawn_shard(n=60_000):
+    import pyarrow as pa
+
+    draw = random.Random(5)
+    text = " ".join(format(min(int(draw.paretovariate(0.5)), 10**6) * 2654435761 % 2**32, "x") for _ in range(n))
+    return phrases._shard([pa.array([text], pa.large_string())])
+
+
+def test_packed_numbers_come_back():
+    import numpy as np
+
+    for numbers in ([], [0], [191, 192, 16319, 16320, 2**31 - 1, 2**32 - 1, 5], list(range(0, 70_000, 7))):
+        assert phrases._unpacked(phrases._packed(np.array(numbers, np.int64))).tolist() == numbers
+    keys = np.array([7, 4_000_000, 4_194_303, 0, 9], np.int64)
+    assert phrases._stepped(phrases._steps(keys)).tolist() == keys.tolist()
+
+
+def test_what_is_shuffled_is_small():
+    """Listed keys, shards and counted phrases, in bytes for each."""
+    import pyarrow as pa
+
+    n, words, lengths, numbers = drawn_shard()
+    # 0.87 bytes a word before.
+    assert len(numbers) < 0.75 * n
+    row = pa.RecordBatch.from_arrays([pa.array([v]) for v in (1, "en", 1, words, lengths, numbers)],
+                                     names=["shard", "lang", "support", "words", "lengths", "numbers"])
+    listed = pa.Table.from_batches(phrases._with_steps(phrases._miner(3, 1))(iter([row])))
+    keys = [phrases._stepped(k) for k in listed["keys"].to_pylist()]
+    # Three bytes a key before.
+    assert sum(map(len, listed["keys"].to_pylist())) < 1.5 * sum(map(len, keys))
+
+    sent = pa.table({"range": listed["range"], "keys": listed["keys"]})
+    counted = phrases._counter(3, 1)(pa.Table.from_batches([row]), sent)
+    summed = pa.concat_tables([phrases._summer(1)(counted.slice(i, 1)) for i in range(counted.num_rows)])
+    texts = summed["phrase"].to_pylist()
+    # A row of its own for each phrase and shard before.
+    assert counted.num_rows <= 2 and len(set(texts)) == len(texts)
+    assert sum(map(len, counted["phrases"].to_pylist())) < 0.35 * sum(map(len, texts))
+    assert sum(summed["n"].to_pylist()) == 3 * n - 3
+
+
+def test_a_shard_without_any_phrase_it_was_sent():
+    import numpy as np
+    import pyarrow as pa
+
+    _, words, lengths, numbers = phrases._shard([pa.array(["to be"], pa.large_string())])
+    left = pa.table({"lang": ["en"], "words": [words], "lengths": [lengths], "numbers": [numbers]})
+    for keys in ([], [3]):
+        right = pa.table({"range": pa.array([0], pa.int32()), "keys": [phrases._steps(np.array(keys, np.int64))]})
+        assert phrases._counter(3, 1)(left, right).num_rows == 0
