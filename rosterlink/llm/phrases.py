@@ -211,13 +211,25 @@ class _Shard:
     """Words of a shard and the places at which phrases of some size start."""
 
     def __init__(self, words: bytes, lengths: bytes, numbers: bytes):
-        self.text, self.ends = zlib.decompress(words), np.cumsum(_unpacked(lengths), dtype=np.int64)
         row = _unpacked(numbers) - 1
         self.numbers = row[row >= 0]
-        piece = np.cumsum(row < 0)[row >= 0]
+        self.piece = np.cumsum(row < 0)[row >= 0]
+        self.name(zlib.decompress(words), np.cumsum(_unpacked(lengths), dtype=np.int64))
+
+    def name(self, text: bytes, ends: np.ndarray) -> None:
+        self.text, self.ends = text, ends
         starts = np.concatenate([[0], self.ends[:-1]]) if len(self.ends) else self.ends
         hashes = _hashes(np.frombuffer(self.text, np.uint8), starts, self.ends)
-        self.hashes, self.piece = hashes[self.numbers], piece
+        self.hashes = hashes[self.numbers]
+
+    def spell(self) -> None:
+        """Words that are no valid UTF-8 become what they are shown as."""
+        words = _strings(self.text, self.ends)
+        try:
+            words.validate(full=True)
+        except pa.ArrowInvalid:
+            shown = [w.decode("utf-8", "replace").encode() for w in words.cast(pa.large_binary()).to_pylist()]
+            self.name(b"".join(shown), np.cumsum([len(w) for w in shown], dtype=np.int64))
 
     def places(self, size: int) -> np.ndarray:
         count = max(len(self.numbers) - size + 1, 0)
@@ -346,7 +358,7 @@ def _counter(longest: int, bits: int):
             _stepped(k).astype(np.uint64) + (_U(r) << _U(_KEY_BITS))
             for r, k in zip(right["range"].to_pylist(), right["keys"].to_pylist())]))
         own = _Shard(left["words"][0].as_py(), left["lengths"][0].as_py(), left["numbers"][0].as_py())
-        found = []
+        counted, found = [], []
         for size in range(1, longest + 1):
             places = own.places(size)
             keys = own.keys(places, size) >> _U(64 - bits - _KEY_BITS)
@@ -361,7 +373,9 @@ def _counter(longest: int, bits: int):
             for k in range(size):
                 _, code = np.unique(code * (len(own.ends) + 1) + own.numbers[places + k], return_inverse=True)
             _, first, times = np.unique(code, return_index=True, return_counts=True)
-            places = places[first]
+            counted.append((size, places[first], times))
+        own.spell()
+        for size, places, times in counted:
             # A part holds all that begins with the same two words: many neighbours, and no word makes one part large.
             parts = own.keys(places, min(size, 2)) >> _U(64 - max(bits - 1, 1))
             found.append(pa.table({"part": parts.astype(np.int32), "phrase": own.phrases(places, size), "n": times}))

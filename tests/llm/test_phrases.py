@@ -131,3 +131,16 @@ def test_a_shard_without_any_phrase_it_was_sent():
     for keys in ([], [3]):
         right = pa.table({"range": pa.array([0], pa.int32()), "keys": [phrases._steps(np.array(keys, np.int64))]})
         assert phrases._counter(3, 1)(left, right).num_rows == 0
+
+
+def test_words_that_are_no_valid_text_count_as_shown():
+    import numpy as np
+    import pyarrow as pa
+
+    _, *packed = phrases._shard([phrases._strings(b"\xff be \xfe be", np.array([9]))])
+    names = ["words", "lengths", "numbers"]
+    row = pa.RecordBatch.from_arrays([pa.array([v]) for v in (1, "en", 1, *packed)], names=["shard", "lang", "support", *names])
+    listed = pa.Table.from_batches(phrases._with_steps(phrases._miner(2, 1))(iter([row])))
+    counted = phrases._counter(2, 1)(pa.Table.from_batches([row]), pa.table({"range": listed["range"], "keys": listed["keys"]}))
+    summed = pa.concat_tables([phrases._summer(2)(counted.slice(i, 1)) for i in range(counted.num_rows)])
+    assert sorted(zip(summed["phrase"].to_pylist(), summed["n"].to_pylist())) == [("be", 2), ("�", 2), ("� be", 2)]
